@@ -7,13 +7,35 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.encode import encode_column
 from tidemark.llm.mixing import mix_sources, token_counter
-from tidemark.llm.splits import assign_splits, example_issuers
+from tidemark.llm.overlap import cross_split_overlaps, overlap_pairs
+from tidemark.llm.splits import assign_splits, example_issuers, user_message
 from tidemark.session import cut_lineage
 from tidemark.tables import table
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
+def _overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    examples = table(spark, folder, "rlvr_examples")
+    records = examples.where("dataset_split is not null").select(F.col("example_id").alias("id"), (F.col("dataset_split") == "train").alias("train"), user_message().alias("text"))
+    return cross_split_overlaps(records)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = overlap_pairs(*_overlaps(spark, folder))
+    return pairs.select(F.least("id_train", "id_other").alias("id_a"), F.greatest("id_train", "id_other").alias("id_b"))
+
+
+def p4_report(spark: SparkSession, folder: str) -> DataFrame:
+    """For each split and source outside training: its records, and how many of them are in training exactly or nearly."""
+    examples = table(spark, folder, "rlvr_examples").where("dataset_split <> 'train'").select(F.col("example_id").alias("id_other"), "dataset_split", "source")
+    best = overlap_pairs(*_overlaps(spark, folder)).groupBy("id_other").agg(F.max("similarity").alias("similarity"), F.count("*").alias("partners"))
+    seen = examples.join(best, "id_other", "left")
+    return seen.groupBy("dataset_split", "source").agg(
+        F.count("*").alias("records"), F.count(F.when(F.col("similarity") == 1, 1)).alias("exact"), F.count(F.when(F.col("similarity") < 1, 1)).alias("near"), F.round(F.count("similarity") / F.count("*"), 6).alias("share")
+    )
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return example_issuers(table(spark, folder, "rlvr_examples").select("example_id", "messages", "metadata"), table(spark, folder, "tickers"))
 
@@ -45,7 +67,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder)[1]
 
 
-QUERIES = {"p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLES: dict[str, str] = {}
 ORACLES["p6_found"] = r"""
 WITH t AS (SELECT ticker_id, regexp_replace(lower(regexp_replace(trim(company_name), '[\s,\-–(]*\b(class|cl|series|ser)\b[.\s]*[a-z0-9]{1,2}\b[\s.)]*$', '', 'i')), '[^a-z0-9]', '', 'g') AS nk,
