@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.encode import encode_column
 from tidemark.llm.mixing import mix_sources, token_counter
 from tidemark.llm.overlap import cross_split_overlaps, overlap_pairs
+from tidemark.llm.quality import STATISTICS, document_kinds
 from tidemark.llm.splits import assign_splits, example_issuers, user_message
 from tidemark.session import cut_lineage
 from tidemark.tables import table
@@ -67,7 +68,17 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder)[1]
 
 
-QUERIES = {"p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """The statistics and the kind of every document; NULL where it has no words."""
+    out = document_kinds(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *[F.round(F.col(f"stats.{s}"), 6).alias(s) for s in STATISTICS], "doc_kind")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return document_kinds(table(spark, folder, "documents").select("doc_id", "text")).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
+
+
+QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLES: dict[str, str] = {}
 ORACLES["p6_found"] = r"""
 WITH t AS (SELECT ticker_id, regexp_replace(lower(regexp_replace(trim(company_name), '[\s,\-–(]*\b(class|cl|series|ser)\b[.\s]*[a-z0-9]{1,2}\b[\s.)]*$', '', 'i')), '[^a-z0-9]', '', 'g') AS nk,
