@@ -14,10 +14,10 @@ from collections.abc import Callable
 # Frequent function words of English, German, French, Spanish and Italian.
 COMMON = {
     "en": "the of and to in a is that for it as was with be by on not at are this have from or an which we our its has been than their when there all so if but more into per",
-    "de": "der die das und ist von für mit den dem des ein eine nicht auch auf im zu als bei wir sich aus nach unserer wird um oder noch weil auch wenn da die",
-    "fr": "le la les et de des du que qui pour dans sur est une un par plus ne pas au ce selon nous il se ont car même si à en l d",
-    "es": "el los las y en por con se su al lo es una para como del que pero sin sobre ha un muy hay a nuestro aunque ya",
-    "it": "il di che e i per con non si della in alla sono è ma gli dei una un nel sia dato anche più ha al da",
+    "de": "der die das und ist von für mit den dem des ein eine nicht auch auf im zu als bei wir sich aus nach unserer wird um oder noch weil auch wenn da obwohl damit",
+    "fr": "le la les et de des du que qui pour dans sur est une un par plus ne pas au ce selon nous il se ont car même si à en l d puisque parce avec",
+    "es": "el los las y en por con se su al lo es una para como del que pero sin sobre ha un muy hay a nuestro aunque ya mientras porque también no",
+    "it": "il di che e i per con non si della in alla sono è ma gli dei una un nel sia dato anche più ha al da perché molti ci",
 }
 COMMON_WORDS = sorted({w for ws in COMMON.values() for w in ws.split()})
 KINDS = ("prose", "list", "table", "junk")

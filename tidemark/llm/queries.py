@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.encode import encode_column
 from tidemark.llm.mixing import mix_sources, token_counter
 from tidemark.llm.overlap import cross_split_overlaps, overlap_pairs
+from tidemark.llm.pairs import defective_pairs
 from tidemark.llm.quality import STATISTICS, document_kinds
 from tidemark.llm.splits import assign_splits, example_issuers, user_message
 from tidemark.session import cut_lineage
@@ -49,6 +50,10 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.join(dealt, "grp").select("example_id", "ticker_id", F.col("split").alias("new_split"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return defective_pairs(table(spark, folder, "baseline_results"), "result_id", "prompt", "reasoning")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_column(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
 
@@ -78,7 +83,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return document_kinds(table(spark, folder, "documents").select("doc_id", "text")).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
 
 
-QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p7_found": p7_found, "p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLES: dict[str, str] = {}
 ORACLES["p6_found"] = r"""
 WITH t AS (SELECT ticker_id, regexp_replace(lower(regexp_replace(trim(company_name), '[\s,\-–(]*\b(class|cl|series|ser)\b[.\s]*[a-z0-9]{1,2}\b[\s.)]*$', '', 'i')), '[^a-z0-9]', '', 'g') AS nk,
