@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.encode import encode_column
 from tidemark.llm.mixing import mix_sources, token_counter
+from tidemark.llm.names import link_spellings, spelling_pairs
 from tidemark.llm.overlap import cross_split_overlaps, overlap_pairs
 from tidemark.llm.pairs import defective_pairs
 from tidemark.llm.quality import STATISTICS, document_kinds
@@ -17,6 +18,25 @@ from tidemark.tables import table
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
+def _linked(spark: SparkSession, folder: str) -> DataFrame:
+    firms = table(spark, folder, "analyst_recommendations").select(F.lit("firm:0").alias("scope"), F.col("firm").alias("name"))
+    owners = table(spark, folder, "insider_transactions").where("ticker_id is not null").select(F.concat(F.lit("owner_name:"), F.col("ticker_id").cast("string")).alias("scope"), F.col("owner_name").alias("name"))
+    return link_spellings(firms.unionByName(owners))
+
+
+def _scoped(df: DataFrame, *rest: str) -> DataFrame:
+    return df.select(F.split_part("scope", F.lit(":"), F.lit(1)).alias("name_field"), F.split_part("scope", F.lit(":"), F.lit(2)).cast("int").alias("ticker_id"), *rest)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _scoped(spelling_pairs(_linked(spark, folder)), "name_a", "name_b")
+
+
+def p2_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct spelling with the class of its entity."""
+    return _scoped(_linked(spark, folder), "name", "entity")
+
+
 def _overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     examples = table(spark, folder, "rlvr_examples")
     records = examples.where("dataset_split is not null").select(F.col("example_id").alias("id"), (F.col("dataset_split") == "train").alias("train"), user_message().alias("text"))
@@ -83,7 +103,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return document_kinds(table(spark, folder, "documents").select("doc_id", "text")).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
 
 
-QUERIES = {"p7_found": p7_found, "p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p7_found": p7_found, "p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLES: dict[str, str] = {}
 ORACLES["p6_found"] = r"""
 WITH t AS (SELECT ticker_id, regexp_replace(lower(regexp_replace(trim(company_name), '[\s,\-–(]*\b(class|cl|series|ser)\b[.\s]*[a-z0-9]{1,2}\b[\s.)]*$', '', 'i')), '[^a-z0-9]', '', 'g') AS nk,
