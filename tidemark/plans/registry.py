@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import market_problems
+from tidemark.plans import features, market_problems
 
-MODULES = [market_problems]
+MODULES = [market_problems, features]
 
 
 def queries() -> dict:
