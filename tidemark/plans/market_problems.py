@@ -67,7 +67,7 @@ def _bars_with_filing(spark: SparkSession, folder: str, columns: list[str], carr
 def p3_as_known(spark: SparkSession, folder: str) -> DataFrame:
     """Every bar with the figures public before its date; NULL figures where there are none."""
     out = _bars_with_filing(spark, folder, ["market_data_id", "ticker_id", "date", "close"], FIGURES, "left")
-    return out.select("market_data_id", "ticker_id", "date", "close", *[F.col(f"as_known.{c}").alias(c) for c in FIGURES])
+    return out.select("market_data_id", "ticker_id", "date", "close", *[(F.col(f"as_known.{c}").cast("string") if c.endswith("_date") else F.col(f"as_known.{c}")).alias(c) for c in FIGURES])
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +91,7 @@ def _news_with_bar(spark: SparkSession, folder: str, carry: list[str], prefer: l
 def p5_nearest_bar(spark: SparkSession, folder: str) -> DataFrame:
     """Every news row with its ticker's nearest bar (as last delivered) and the distance in seconds; NULL where none is in reach."""
     out = _news_with_bar(spark, folder, ["date", "close"], [F.col("created_at"), F.col("market_data_id")], "left", ["news_id", "ticker_id", "published_at"])
-    return out.select("news_id", "ticker_id", "published_at", F.col("nearest.date").alias("bar_date"), F.col("nearest.close").alias("bar_close"), (F.col("distance_us") / SECOND).cast("long").alias("distance_s"))
+    return out.select("news_id", "ticker_id", "published_at", F.col("nearest.date").cast("string").alias("bar_date"), F.col("nearest.close").alias("bar_close"), (F.col("distance_us") / SECOND).cast("long").alias("distance_s"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,7 +103,7 @@ QUERIES = {"p1_trailing": p1_trailing, "p1_found": p1_found, "p3_as_known": p3_a
 
 _NEAREST = """
 WITH bars AS (
-  SELECT ticker_id, date, arg_max(close, (created_at, market_data_id)) AS close FROM market_data GROUP BY 1, 2),
+  SELECT ticker_id, date, arg_max(struct_pack(c := close), (created_at, market_data_id)).c AS close FROM market_data GROUP BY 1, 2),
 near AS (
   SELECT n.news_id, b.date AS bar_date, b.close AS bar_close,
          date_diff('second', n.published_at, b.date + INTERVAL 16 HOUR) AS distance_s,
@@ -152,11 +152,11 @@ sent AS (SELECT ticker_id, CAST(published_at AS DATE) AS d, count(*) AS c FROM n
 last AS (SELECT s.ticker_id, s.on_date, max(n.d) AS d FROM spine s JOIN sent n ON n.ticker_id = s.ticker_id AND n.d BETWEEN s.on_date - 29 AND s.on_date GROUP BY 1, 2)
 SELECT ticker_id, strftime(on_date, '%Y-%m-%d') AS on_date FROM last WHERE on_date - d >= 7""",
     "p3_as_known": _KNOWN
-    + """SELECT m.market_data_id, m.ticker_id, m.date, m.close, k.fundamental_id, k.report_date, k.filing_date, k.eps, k.revenue, k.net_income
+    + """SELECT m.market_data_id, m.ticker_id, m.date, m.close, k.fundamental_id, CAST(k.report_date AS VARCHAR) AS report_date, CAST(k.filing_date AS VARCHAR) AS filing_date, k.eps, k.revenue, k.net_income
 FROM market_data m LEFT JOIN known k ON m.market_data_id = k.market_data_id AND k.rn = 1""",
     "p3_found": _KNOWN + "SELECT market_data_id, fundamental_id FROM known WHERE rn = 1",
     "p5_nearest_bar": _NEAREST
-    + """SELECT n.news_id, n.ticker_id, n.published_at, k.bar_date, k.bar_close, CAST(k.distance_s AS BIGINT) AS distance_s
+    + """SELECT n.news_id, n.ticker_id, n.published_at, CAST(k.bar_date AS VARCHAR) AS bar_date, k.bar_close, CAST(k.distance_s AS BIGINT) AS distance_s
 FROM news n LEFT JOIN near k ON n.news_id = k.news_id AND k.rn = 1""",
     "p5_found": _NEAREST + "SELECT news_id, strftime(bar_date, '%Y-%m-%d') AS bar_date FROM near WHERE rn = 1",
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import features, market_problems
+from tidemark.plans import backtest, features, market_problems, pit
 
-MODULES = [market_problems, features]
+MODULES = [market_problems, features, pit, backtest]
 
 
 def queries() -> dict:
