@@ -85,8 +85,8 @@ def trailing_windows(
     tile_of = lambda c: F.floor(c / tile_days).cast("int")
 
     value_columns = [f"{m}__{k}" for m in measures for k in "sc"]
-    # a day is in its own tile, and in the next one's halo where that reaches it
-    tiles = F.array_distinct(F.array(tile_of(F.col("__d")), tile_of(F.col("__d") + halo)))
+    # a day is in its own tile, and in those after it whose halo reaches it
+    tiles = F.sequence(tile_of(F.col("__d")), tile_of(F.col("__d") + halo))
     data = daily.select("__e", F.explode(tiles).alias("__t"), "__d", *value_columns)
     marks = spans.select("__e", F.explode(F.sequence(tile_of(F.col("__first")), tile_of(F.col("__last")))).alias("__t"), "__first", "__last")
     none = F.lit(None)

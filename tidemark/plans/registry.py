@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import backtest, features, market_problems, pit, reports
+from tidemark.plans import backtest, features, ingest, market_problems, pit, reports
 
-MODULES = [market_problems, features, pit, backtest, reports]
+MODULES = [market_problems, features, pit, backtest, reports, ingest]
 
 
 def queries() -> dict:
