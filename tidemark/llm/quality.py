@@ -35,7 +35,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     t = F.regexp_replace(t, r"[\u00A0\u2007\u202F\u3000]", " ")
     t = F.regexp_replace(t, r"[\u200B-\u200D\uFEFF\u00AD]", "")
     # letter-spaced text: single letters one blank apart, words several
-    spaced = F.length(F.regexp_replace(t, r"\S(?= {1,9}\S\b)", "")) < F.length(t) * 0.62
+    spaced = (F.length(F.regexp_replace(t, r"\S(?= {1,9}\S\b)", "")) < F.length(t) * 0.62) & t.rlike(r"\S {2,9}\S")
     df = df.withColumn("__t", F.when(spaced, F.regexp_replace(t, r"(?<=\S) (?=\S)", "")).otherwise(t))
     df = df.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: F.trim(F.translate(x, "\t", " ")) != ""))
     df = df.withColumn("__w", F.filter(F.split("__t", r"\s+"), lambda x: x != ""))
