@@ -57,6 +57,8 @@ KEYS = {c: (x + 0.3 * y, y) for y, row in enumerate(("qwertyuiop", "asdfghjkl",
 TYPO, RARE_TYPO, DROPPED, INITIAL, NICK, ACRONYM, SHORTENED = -3.2, -7.5, -2.0, -1.6, -1.2, -5.0, -0.7
 #: what a spelling loses as a name of its own beside a form it can be typed from, and the most a token's errors may cost
 OWN, TOKEN_LIMIT, LIMIT = -11.0, -6.5, -10.0
+#: what a spelling may lose against a rarer form: a slip may be more frequent than what it is a slip of
+RARER_LIMIT = -5.6
 
 
 def near_keys(a: str, b: str) -> bool:
@@ -110,6 +112,14 @@ def designator(word: str) -> str | None:
     return None
 
 
+def unhyphened(part: str) -> list[str]:
+    """A double name as one word; its parts where one of them is a designator or a single letter."""
+    words = part.split("-")
+    if len(words) > 1 and not any(designator(w) or w in IGNORED or (len(w) == 1 and len(words) == 2) for w in words):
+        return ["".join(words)]
+    return words
+
+
 class Name:
     """A typed name in parts: proper words, designators, initials; or an acronym."""
 
@@ -120,8 +130,8 @@ class Name:
         letters = re.sub(r"[^A-Za-z]", "", plain)
         self.acronym = letters.lower() if 2 <= len(letters) <= 6 and re.fullmatch(r"\s*(?:[A-Z]\.?\s?){2,6}\s*", plain) else ""
         plain = re.sub(r"(?<=[a-z]{2})(?=[A-Z][a-z])", " ", plain)
-        plain = re.sub(r"\b(?:L\.\s?L\.\s?C|L\.\s?P|P\.\s?L\.\s?C|S\.\s?A|N\.\s?V)\b\.?", " ", plain, flags=re.IGNORECASE)
-        words = re.findall(r"[a-z0-9]+", re.sub(r"['’]", "", plain.lower()))
+        plain = re.sub(r"\b(?:L\.L\.C|L\.P|P\.L\.C|S\.A|N\.V)\.?\s*$", " ", plain, flags=re.IGNORECASE)
+        words = [w for part in re.findall(r"[a-z0-9]+(?:-[a-z0-9]+)*", re.sub(r"['’]", "", plain.lower())) for w in unhyphened(part)]
         words = [w for w in words if w not in IGNORED]
         found = [(w, designator(w)) for w in words]
         # a person's name has no designator but by accident of a single letter
@@ -245,9 +255,9 @@ def link_spellings(names: DataFrame) -> DataFrame:
     names: (scope STRING, name STRING), one row for each time a name was typed.
     Spellings are only linked within a scope. Spellings that agree after case,
     punctuation, order, titles, legal forms, known abbreviations and nicknames
-    form one skeleton; a skeleton is attached to the more frequent one (of
-    equals the one first in order) with the greatest posterior among those it
-    shares a key with. NULL scopes and NULL or wordless names are left out;
+    form one skeleton; a skeleton is attached to the one with the greatest
+    posterior among the more frequent ones it shares a key with, and to the best
+    of the rarer ones that it is plainly a slip of. NULL scopes and NULL or wordless names are left out;
     repeated rows raise a spelling's frequency.
     """
     typed = names.where("scope is not null and name is not null").groupBy("scope", "name").agg(F.count("*").alias("n"))
@@ -271,24 +281,31 @@ def link_spellings(names: DataFrame) -> DataFrame:
     keys = keys.join(keys.groupBy("scope", "key").agg(F.count("*").alias("k")).where("k > 1").select("scope", "key"), ["scope", "key"], "left_semi")
     a = keys.select("scope", "key", F.col("skeleton").alias("sa"), F.col("n").alias("na"), F.col("name").alias("ta"))
     b = keys.select("scope", "key", F.col("skeleton").alias("sb"), F.col("n").alias("nb"), F.col("name").alias("tb"))
-    # an acronym hangs on a full form, however rare; else the more frequent is the form
+    # an acronym hangs on a full form, however rare
     rank = lambda s, n: F.struct((~F.col(s).startswith("#")).alias("f"), F.col(n).alias("n"), F.col(s).alias("s"))
-    pairs = a.join(b, ["scope", "key"]).where(rank("sb", "nb") > rank("sa", "na")).select("scope", "sa", "ta", "na", "sb", "tb", "nb").distinct()
+    pairs = a.join(b, ["scope", "key"]).where("sa <> sb").select("scope", "sa", "ta", "na", "sb", "tb", "nb", (rank("sb", "nb") > rank("sa", "na")).alias("up")).distinct()
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for ta, tb, na, nb in zip(f["ta"], f["tb"], f["na"], f["nb"], strict=True):
+            for ta, tb, nb, up in zip(f["ta"], f["tb"], f["nb"], f["up"], strict=True):
                 x, y = parsed(ta), parsed(tb)
-                like = ACRONYM if x.acronym and not y.acronym and "".join(sorted(x.acronym)) in acronyms(y) and acronym_order(x.acronym, tb) else channel(x, y)
-                out.append(like + math.log(nb) if like >= LIMIT else -math.inf)
+                if up:
+                    like = ACRONYM if x.acronym and not y.acronym and "".join(sorted(x.acronym)) in acronyms(y) and acronym_order(x.acronym, tb) else channel(x, y)
+                    ok = like >= LIMIT
+                else:
+                    # initials and dropped words fit several names: against a rarer form only slips and nicknames count
+                    alike = not x.acronym and not y.acronym and len(x.proper) == len(y.proper) and x.titles == y.titles
+                    like = channel(x, y) if alike else -math.inf
+                    ok = like >= RARER_LIMIT
+                out.append(like + math.log(nb) if ok else -math.inf)
             f["posterior"] = out
             f = f[(f["posterior"] > -1e6)]
             f = f[f["posterior"] > OWN + f["na"].map(math.log)]
-            yield f[["scope", "sa", "sb", "posterior"]]
+            yield f[["scope", "sa", "sb", "up", "posterior"]]
 
-    scored = pairs.mapInPandas(score, "scope string, sa string, sb string, posterior double")
-    best = scored.groupBy("scope", "sa").agg(F.max_by("sb", F.struct("posterior", "sb")).alias("sb"))
+    scored = pairs.mapInPandas(score, "scope string, sa string, sb string, up boolean, posterior double")
+    best = scored.groupBy("scope", "sa", "up").agg(F.max_by("sb", F.struct("posterior", "sb")).alias("sb"))
     node = lambda c: F.concat_ws("\u0001", "scope", c)
     links = connected_components(best.select(node("sa").alias("a"), node("sb").alias("b")))
     out = typed.withColumn("node", node("skeleton")).join(links, "node", "left")
