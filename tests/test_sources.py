@@ -114,3 +114,20 @@ def test_streams(spark, tmp_path):
     q.stop()
     first = spark.sql("select * from weeks order by week").first()
     assert (str(first["week"]), first["open"], first["close"], first["volume"]) == ("2024-01-01", 0.0, 6.5, 70)
+
+
+def test_views_and_progress(spark, tmp_path):
+    from tidemark.sources.views import read_view, record_progress, refresh, remaining
+
+    path = str(tmp_path / "view")
+    with pytest.raises(FileNotFoundError):
+        read_view(spark, path)
+    assert refresh(spark.range(3), path) == 1
+    (tmp_path / "view" / "v2").mkdir()  # a refresh that died
+    assert read_view(spark, path).count() == 3
+    assert refresh(spark.range(5), path) == 2
+    assert read_view(spark, path).count() == 5
+    d = lambda n: dt.date(2024, 1, n)
+    record_progress(spark.createDataFrame([("a", d(1)), ("a", d(2))], "key string, day date"), str(tmp_path / "p"))
+    left = remaining(spark.createDataFrame([("a", d(2)), ("a", d(3)), ("b", d(1))], "key string, day date"), str(tmp_path / "p"))
+    assert {(r["key"], r["day"]) for r in left.collect()} == {("a", d(3)), ("b", d(1))}

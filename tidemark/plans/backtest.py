@@ -115,8 +115,8 @@ def d22_chronological_split(spark: SparkSession, folder: str) -> DataFrame:
     # counts by day are a short list, however many examples there are
     one = Window.partitionBy(F.lit(0))
     per_day = per_day.withColumn("upto", F.sum("c").over(one.orderBy("day"))).withColumn("total", F.sum("c").over(one))
-    cut = per_day.where(F.col("upto") > F.floor(F.col("total") * F.lit(4) / F.lit(5))).agg(F.min("day").alias("cut"))
-    return e.join(F.broadcast(cut)).select("example_id", "day", F.when(F.col("day") <= F.col("cut"), "train").otherwise("dev").alias("new_split"))  # cut is one row
+    cut = per_day.where(F.col("upto") > F.floor(F.col("total") * F.lit(4) / F.lit(5))).agg(F.min("day")).first()[0]  # one date
+    return e.select("example_id", "day", F.when(F.col("day") <= F.lit(cut), "train").otherwise("dev").alias("new_split"))
 
 
 def d23_assembly(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,7 +78,7 @@ def w11_w12_growth(spark: SparkSession, folder: str) -> DataFrame:
 
 def a08_w13_sentiment(spark: SparkSession, folder: str) -> DataFrame:
     """Daily mean sentiment (NULL counts 0) and its means and counts over the last 7 days with news."""
-    daily = articles(spark, folder).groupBy(K, F.to_date("published_at").alias("date")).agg(s.exact_mean(F.coalesce(clean_double("sentiment_score"), F.lit(0.0))).alias("m"), F.count("*").alias("article_count"))
+    daily = articles(spark, folder, "sentiment_score").groupBy(K, F.to_date("published_at").alias("date")).agg(s.exact_mean(F.coalesce(clean_double("sentiment_score"), F.lit(0.0))).alias("m"), F.count("*").alias("article_count"))
     w = Window.partitionBy(K).orderBy("date").rowsBetween(-6, 0)
     return daily.select(K, "date", F.col("m").alias("sentiment"), "article_count", s.exact_mean("m", w, 9).alias("sentiment_7"), F.sum("article_count").over(w).alias("articles_7"))
 
@@ -187,7 +187,7 @@ def a11_weekly_change(spark: SparkSession, folder: str) -> DataFrame:
 
 def a12_a13_weekly_news(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly article counts by sign at 0.1, means with and without NULL as 0, and the headline of the strongest score."""
-    a = articles(spark, folder).withColumn("sentiment_score", clean_double("sentiment_score"))
+    a = articles(spark, folder, "headline", "sentiment_score", "news_id").withColumn("sentiment_score", clean_double("sentiment_score"))
     strongest = F.struct(F.coalesce(F.abs("sentiment_score"), F.lit(-1.0)), F.col("news_id"))
     return a.groupBy(K, F.to_date(F.date_trunc("week", "published_at")).alias("week")).agg(
         F.count("*").alias("articles"),
@@ -262,13 +262,27 @@ def a16_a17_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 def a22_sentiment_trend(spark: SparkSession, folder: str) -> DataFrame:
     """Each ticker's monthly mean sentiment with its direction against the month before, at 0.05."""
-    a = articles(spark, folder).groupBy(K, F.to_date(F.date_trunc("month", "published_at")).alias("month")).agg(s.exact_mean(clean_double("sentiment_score")).alias("m"))
+    a = articles(spark, folder, "sentiment_score").groupBy(K, F.to_date(F.date_trunc("month", "published_at")).alias("month")).agg(s.exact_mean(clean_double("sentiment_score")).alias("m"))
     prev = F.lag("m").over(Window.partitionBy(K).orderBy("month"))
     a = a.withColumn("d", F.col("m") - prev)
     return a.select(K, "month", F.col("m").alias("mean_score"), F.when(F.col("d") > 0.05, "improving").when(F.col("d") < -0.05, "worsening").when(F.col("d").isNotNull(), "stable").alias("direction"))
 
 
+def d35_d36_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """Each ticker's three latest articles as lines of text, with the sentiment in words at 0.2 and 0.6."""
+    a = articles(spark, folder, "headline", "sentiment_score", "news_id").withColumn("s", clean_double("sentiment_score"))
+    level = F.when(F.col("s") >= 0.6, "very positive").when(F.col("s") >= 0.2, "positive").when(F.col("s") <= -0.6, "very negative").when(F.col("s") <= -0.2, "negative").when(F.col("s").isNotNull(), "neutral").otherwise("unrated")
+    order = [F.desc("published_at"), F.desc("news_id")]
+    # three a day suffice of each day, so no hot ticker is sorted whole
+    a = a.withColumn("r", F.row_number().over(Window.partitionBy(K, F.to_date("published_at")).orderBy(*order))).where("r <= 3")
+    a = a.withColumn("rn", F.row_number().over(Window.partitionBy(K).orderBy(*order))).where("rn <= 3")
+    line = F.concat(F.lit("- "), F.coalesce("headline", F.lit("")), F.lit(" ("), level, F.lit(")"))
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("rn", line.alias("l")))), lambda x: x["l"])
+    return a.groupBy(K).agg(F.array_join(lines, "\n").alias("summary"), F.floor(F.length(F.array_join(lines, "\n")) / 4).alias("tokens_estimated"))
+
+
 QUERIES = {f.__name__: f for f in (
+    d35_d36_summaries,
     w04_w06_averages, w07_macd, w08_bollinger, w09_atr, w10_adx, w11_w12_growth, a08_w13_sentiment, j10_w14_days_since, w16_daily_returns, w17_labels, w18_insights, w19_changed_values,
     a09_weekly_bars, a10_chunk_bars, a11_weekly_change, a12_a13_weekly_news, a14_a15_weekly_insider, a16_a17_ratings, a18_a19_price_summary, a20_long_trend, a21_volatility, a22_sentiment_trend,
 )}
@@ -280,6 +294,10 @@ g AS (SELECT *, {_mean("close", _rows(20))} AS sma_20, {_mean("close", _rows(50)
 x AS (SELECT *, CASE WHEN i >= 13 THEN CASE WHEN down > 0 THEN 100 - 100 / (1 + up / down) WHEN up > 0 THEN 100.0 END END AS rsi_14 FROM g)"""
 
 ORACLES = {
+    "d35_d36_summaries": f"""WITH {ARTICLES}, r AS (SELECT *, row_number() OVER (PARTITION BY ticker_id ORDER BY published_at DESC, news_id DESC) AS rn FROM articles),
+l AS (SELECT ticker_id, rn, '- ' || coalesce(headline, '') || ' (' || CASE WHEN sentiment_score >= 0.6 THEN 'very positive' WHEN sentiment_score >= 0.2 THEN 'positive' WHEN sentiment_score <= -0.6 THEN 'very negative'
+  WHEN sentiment_score <= -0.2 THEN 'negative' WHEN sentiment_score IS NOT NULL THEN 'neutral' ELSE 'unrated' END || ')' AS l FROM r WHERE rn <= 3), g AS (SELECT ticker_id, string_agg(l, chr(10) ORDER BY rn) AS summary FROM l GROUP BY 1)
+SELECT ticker_id, summary, CAST(floor(length(summary) / 4) AS BIGINT) AS tokens_estimated FROM g""",
     "w04_w06_averages": _AVERAGES + " SELECT ticker_id, date, sma_20, sma_50, round(ema_20, 4) AS ema_20, round(rsi_14, 4) AS rsi_14 FROM x",
     "w07_macd": f"""WITH {SERIES}, m AS (SELECT *, {_ema_sql("close", 12)} - {_ema_sql("close", 26)} AS macd FROM s), g AS (SELECT *, {_ema_sql("macd", 9)} AS sig FROM m)
 SELECT ticker_id, date, {_plain("macd")} AS macd, {_plain("sig")} AS macd_signal, {_plain("macd - sig")} AS macd_histogram FROM g""",

@@ -41,12 +41,12 @@ def t01_last_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _news_days(spark: SparkSession, folder: str) -> DataFrame:
-    days = articles(spark, folder).select(K, F.to_date("published_at").alias("day")).distinct()
+    days = _dated_articles(spark, folder).select(K, "day").distinct()
     return indexed(days, K, "day")
 
 
 def _dated_articles(spark: SparkSession, folder: str) -> DataFrame:
-    return articles(spark, folder).select(K, F.to_date("published_at").alias("day"), "news_id", "published_at", clean_double("sentiment_score").alias("score"))
+    return articles(spark, folder, "news_id", "sentiment_score").select(K, F.to_date("published_at").alias("day"), "news_id", "published_at", clean_double("sentiment_score").alias("score"))
 
 
 def t02_recent_news(spark: SparkSession, folder: str) -> DataFrame:

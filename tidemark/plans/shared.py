@@ -23,10 +23,13 @@ def series(spark: SparkSession, folder: str) -> DataFrame:
     return indexed(bars(spark, folder), "ticker_id", "date")
 
 
-def articles(spark: SparkSession, folder: str) -> DataFrame:
-    """One row an article (url) with a ticker, as last delivered."""
+def articles(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """One row an article (url) with a ticker, as last delivered: ticker_id, published_at and what else is asked for.
+
+    Only these are shuffled; an aggregate's struct isn't pruned later.
+    """
     raw = table(spark, folder, "news").where("ticker_id is not null").withColumn("url", F.coalesce("url", F.col("news_id").cast("string")))
-    return latest_delivery(raw, ["url"], ["created_at", "news_id"], ["ticker_id", "published_at", "headline", "source", "sentiment_score", "news_id"])
+    return latest_delivery(raw, ["url"], ["created_at", "news_id"], ["ticker_id", "published_at", *columns]).drop("url")
 
 
 BARS = """bars AS (
