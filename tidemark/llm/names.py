@@ -230,7 +230,7 @@ def _initials(typed: Name, meant: Name, typed_lacks: list[str], meant_lacks: lis
 
 def acronyms(name: Name) -> set[str]:
     """What the name's words can be shortened to; the order of words is lost, so letters are sorted."""
-    if name.acronym or len(name.proper) + len(name.titles) < 2:
+    if name.acronym or not name.titles or not name.proper:
         return set()
     return {"".join(sorted(w[0] for w in (*name.proper, *name.titles)))}
 
@@ -283,7 +283,7 @@ def link_spellings(names: DataFrame) -> DataFrame:
     b = keys.select("scope", "key", F.col("skeleton").alias("sb"), F.col("n").alias("nb"), F.col("name").alias("tb"))
     # an acronym hangs on a full form, however rare
     rank = lambda s, n: F.struct((~F.col(s).startswith("#")).alias("f"), F.col(n).alias("n"), F.col(s).alias("s"))
-    pairs = a.join(b, ["scope", "key"]).where("sa <> sb").select("scope", "sa", "ta", "na", "sb", "tb", "nb", (rank("sb", "nb") > rank("sa", "na")).alias("up")).distinct()
+    pairs = a.join(b, ["scope", "key"]).where("sa <> sb and (key not like '#%' or sa like '#%' or sb like '#%')").select("scope", "sa", "ta", "na", "sb", "tb", "nb", (rank("sb", "nb") > rank("sa", "na")).alias("up")).distinct()
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

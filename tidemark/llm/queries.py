@@ -45,7 +45,7 @@ def _overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     pairs = overlap_pairs(*_overlaps(spark, folder))
-    return pairs.select(F.least("id_train", "id_other").alias("id_a"), F.greatest("id_train", "id_other").alias("id_b"))
+    return pairs.select(F.least("id_train", "id_other").alias("id_a"), F.greatest("id_train", "id_other").alias("id_b")).distinct()
 
 
 def p4_report(spark: SparkSession, folder: str) -> DataFrame:

@@ -124,7 +124,8 @@ def example_issuers(examples: DataFrame, tickers: DataFrame) -> DataFrame:
     """(example_id, ticker_id): each example with its issuer, by metadata.ticker, else the prompt's heading.
 
     A symbol no listing has falls back to the heading's symbol and then its
-    company name; an example that none of them resolves gets NULL.
+    company name; an example that none of them resolves gets NULL. Repeated rows
+    of one example_id come out once.
     """
     known = issuers(tickers)
     lookup = (
