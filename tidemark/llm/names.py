@@ -100,13 +100,18 @@ def typing(typed: str, meant: str) -> float:
     return -cost[n][m]
 
 
+#: designators long enough to be read through slips, and how much these may cost
+SLIPPED = {d: 2 * TYPO if len(d) >= 6 else TYPO for d in SHORT_WORD if len(d) >= 5 or d in ("bank", "fund")}
+
+
 @lru_cache(maxsize=50_000)
 def designator(word: str) -> str | None:
     """The designator a word is, is short for, or is a slip of."""
     if word in SHORT_WORD:
         return SHORT_WORD[word]
     if len(word) >= 4:
-        close = sorted((-typing(word, d), SHORT_WORD[d]) for d in SHORT_WORD if typing(word, d) >= (2 * TYPO if len(d) >= 6 else TYPO if len(d) >= 5 or d in ("bank", "fund") else 1) and word[0] in d[:2])
+        near = [d for d in SLIPPED if word[0] in d[:2] and abs(len(d) - len(word)) <= 2]
+        close = sorted((-typing(word, d), SHORT_WORD[d]) for d in near if typing(word, d) >= SLIPPED[d])
         if close:
             return close[0][1]
     return None
