@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Terms whose presence speaks for a reasoned answer.
-FINANCIAL_TERMS = "revenue earnings margin growth valuation debt cash price volume trend momentum risk market sector guidance".split()
+FINANCIAL_TERMS = ["price", "trend", "momentum", "support", "resistance", "volume", "rsi", "moving average", "earnings", "revenue", "growth", "valuation", "p/e", "fundamental", "technical"]
 # Expected return of each action, and its weight in a weighted strategy.
 EXPECTED = {"strong_buy": 4.0, "buy": 2.5, "hold": 0.0, "sell": -2.5, "strong_sell": -4.0}
 WEIGHTS = {"strong_buy": 2.0, "buy": 1.0, "hold": 0.0, "sell": -1.0, "strong_sell": -2.0}

@@ -104,45 +104,49 @@ def w16_daily_returns(spark: SparkSession, folder: str) -> DataFrame:
     return last.select(K, "rn", F.round(F.try_divide(F.col("close") - F.col("prev"), "prev") * 100, 6).alias("return_pct"))
 
 
-def _tail(df: DataFrame, n: int) -> Column:
-    return F.when(F.col("rn") <= n, F.col("close"))
-
-
 def w17_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Trend, momentum, volatility and volume of each ticker over its last 50, 5, 20 and 10 bars."""
-    b = bars(spark, folder).withColumn("rn", F.row_number().over(Window.partitionBy(K).orderBy(F.desc("date")))).where("rn <= 50")
-    g = b.groupBy(K).agg(
-        F.count("*").alias("n"),
-        F.expr("regr_slope(close, 51 - rn)").alias("slope"),
-        F.avg("close").alias("mean"),
-        F.max(F.when(F.col("rn") == 1, F.col("close"))).alias("last"),
-        F.max(F.when(F.col("rn") == 6, F.col("close"))).alias("back5"),
-        F.stddev_samp(_tail(b, 20)).alias("std20"),
-        F.avg(_tail(b, 20)).alias("mean20"),
-        F.avg(F.when(F.col("rn") <= 10, F.col("volume"))).alias("vol10"),
-        F.avg("volume").alias("vol50"),
-    )
-    drift = F.try_divide("slope", "mean")
+    """Trends over each ticker's last 5, 20 and 50 bars, and the state of momentum, volatility and volume; NULL or "Insufficient data" for short series."""
+    x = s.macd(s.rsi(series(spark, folder), K, "close"), K, "close")
+    w = Window.partitionBy(K)
+    x = x.withColumn("n", F.count("*").over(w)).withColumn("back", F.col("n") - 1 - F.col("i")).where("back < 50")
+    x = x.withColumn("r", F.when(F.col("back") < 19, F.try_divide("close", F.lag("close").over(w.orderBy("i"))) - 1))
+    last = lambda c, at=0: F.max(F.when(F.col("back") == at, F.col(c)))
+    tail = lambda c, n: F.when(F.col("back") < n, F.col(c))
+    g = x.groupBy(K).agg(
+        F.max("n").alias("n"), last("close").alias("c0"), last("close", 4).alias("c4"), F.min_by("close", "i").alias("c49"), F.round(F.regr_slope(tail("close", 20), F.col("i")), 9).alias("slope"),
+        last("rsi_14").alias("rsi"), F.round(last("macd") - last("macd_signal"), 9).alias("md"), F.stddev_samp("r").alias("sd"), F.max(tail("high", 20)).alias("hi"), F.min(tail("low", 20)).alias("lo"),
+        s.exact_mean(tail("close", 20)).alias("mean"), s.exact_mean(tail("volume", 10), places=0).alias("vm"), last("volume").alias("v0"),
+    )
+    change = F.try_divide(F.col("c0") - F.col("c49"), "c49") * 100
+    few = lambda n, rest: F.when(F.col("n") < n, "Insufficient data").otherwise(rest)
+    enough = F.col("n") >= 5
     return g.select(
         K,
-        F.when(F.col("n") < 2, "unknown").when(drift > 0.001, "up").when(drift < -0.001, "down").otherwise("flat").alias("trend"),
-        F.round(F.try_divide(F.col("last") - F.col("back5"), "back5"), 6).alias("momentum_5"),
-        F.round(F.try_divide("std20", "mean20"), 6).alias("volatility_20"),
-        F.round(F.try_divide("vol10", "vol50"), 6).alias("volume_ratio"),
+        few(5, F.when(F.col("c0") > F.col("c4"), "Uptrend").when(F.col("c0") < F.col("c4"), "Downtrend").otherwise("Sideways")).alias("short_term"),
+        few(10, F.when(F.col("slope") > 0.1, "Strong Uptrend").when(F.col("slope") > 0, "Weak Uptrend").when(F.col("slope") < -0.1, "Strong Downtrend").when(F.col("slope") < 0, "Weak Downtrend").otherwise("Sideways")).alias("medium_term"),
+        few(20, F.when(change > 10, "Strong Uptrend").when(change > 5, "Moderate Uptrend").when(change < -10, "Strong Downtrend").when(change < -5, "Moderate Downtrend").otherwise("Sideways")).alias("long_term"),
+        F.when(F.col("rsi") > 70, "Overbought").when(F.col("rsi") < 30, "Oversold").when(F.col("rsi").isNotNull(), "Neutral").alias("rsi_state"),
+        F.when(F.col("md") > 0, "Bullish").otherwise("Bearish").alias("macd_state"),
+        F.when(enough, F.round(F.col("sd") * 100, 6)).alias("daily_volatility"),
+        F.when(enough, F.round(F.try_divide(F.col("hi") - F.col("lo"), "mean") * 100, 6)).alias("recent_range"),
+        F.when(enough, F.when(F.col("vm") > 0, F.round(F.try_divide("v0", "vm"), 6)).otherwise(0.0)).alias("volume_ratio"),
+        F.when(enough, F.when(F.col("v0") > F.col("vm"), "Increasing").otherwise("Decreasing")).alias("volume_trend"),
     )
 
 
 def w18_insights(spark: SparkSession, folder: str) -> DataFrame:
-    """What changed on each ticker's last bar against the one before, as one line."""
-    x = s.rsi(s.moving_averages(series(spark, folder), K, "close"), K, "close")
-    w = Window.partitionBy(K).orderBy("i")
-    x = x.withColumn("pc", F.lag("close").over(w)).withColumn("pv", F.lag("volume").over(w)).withColumn("n", F.count("*").over(Window.partitionBy(K))).where("i = n - 1")
+    """Each ticker's last bar against the one before and its indicators, as one line of five remarks."""
+    x = s.bollinger(s.macd(s.rsi(s.moving_averages(series(spark, folder), K, "close"), K, "close"), K, "close"), K, "close")
+    x = x.withColumn("pc", F.coalesce(F.lag("close").over(Window.partitionBy(K).orderBy("i")), "close")).withColumn("n", F.count("*").over(Window.partitionBy(K))).where("i = n - 1")
+    c, short, long = F.col("close"), F.round("sma_20", 6), F.round("sma_50", 6)
+    state = F.when(F.col("rsi_14") > 70, "Overbought").when(F.col("rsi_14") < 30, "Oversold").otherwise("Neutral")
+    upper, lower = F.round("bollinger_upper", 6), F.round("bollinger_lower", 6)
     rules = [
-        F.when(F.col("close") > F.col("pc"), "close up").when(F.col("close") < F.col("pc"), "close down"),
-        F.when(F.col("rsi_14") > 70, "overbought").when(F.col("rsi_14") < 30, "oversold"),
-        F.when(F.col("close") > F.col("sma_20"), "above sma 20").when(F.col("close") < F.col("sma_20"), "below sma 20"),
-        F.when(F.col("close") > F.col("sma_50"), "above sma 50").when(F.col("close") < F.col("sma_50"), "below sma 50"),
-        F.when(F.col("volume") > 1.5 * F.col("pv"), "volume surge"),
+        F.format_string("Price Change: %+.2f%%", s.plain_zero(F.try_divide(c - F.col("pc"), "pc") * 100, 6)),
+        F.when(F.col("rsi_14").isNotNull(), F.format_string("RSI: %.1f (%s)", F.round("rsi_14", 6), state)),
+        F.when(F.round(F.col("macd") - F.col("macd_signal"), 9) > 0, "MACD: Bullish (MACD > Signal)").otherwise("MACD: Bearish (MACD < Signal)"),
+        F.when(upper.isNotNull(), F.when(c > upper, "Price: Above Bollinger Upper Band (Overbought)").when(c < lower, "Price: Below Bollinger Lower Band (Oversold)").otherwise("Price: Within Bollinger Bands (Normal)")),
+        F.when((c > short) & (short > long), "Moving Averages: Bullish Alignment").when((c < short) & (short < long), "Moving Averages: Bearish Alignment").otherwise("Moving Averages: Mixed Signals"),
     ]
     return x.select(K, "date", F.concat_ws(" | ", *rules).alias("insights"))
 
@@ -326,16 +330,25 @@ x AS (SELECT b.ticker_id, b.date, date_diff('day', n.d, b.date) AS a, date_diff(
 SELECT ticker_id, date, CAST(a AS INTEGER) AS days_since_news, CAST(c AS INTEGER) AS days_since_insider FROM x WHERE a IS NOT NULL OR c IS NOT NULL""",
     "w16_daily_returns": f"""WITH {BARS}, r AS (SELECT *, row_number() OVER (PARTITION BY ticker_id ORDER BY date DESC) AS rn FROM bars)
 SELECT a.ticker_id, CAST(a.rn AS INTEGER) AS rn, round((a.close - b.close) / nullif(b.close, 0) * 100, 6) AS return_pct FROM r a JOIN r b ON b.ticker_id = a.ticker_id AND b.rn = a.rn + 1 AND b.rn <= 30""",
-    "w17_labels": f"""WITH {BARS}, r AS (SELECT *, row_number() OVER (PARTITION BY ticker_id ORDER BY date DESC) AS rn FROM bars), t AS (SELECT * FROM r WHERE rn <= 50),
-g AS (SELECT ticker_id, count(*) AS n, regr_slope(close, 51 - rn) / avg(close) AS drift, max(close) FILTER (rn = 1) AS l, max(close) FILTER (rn = 6) AS b5, stddev_samp(close) FILTER (rn <= 20) AS sd, avg(close) FILTER (rn <= 20) AS m20,
-  avg(volume) FILTER (rn <= 10) AS v10, avg(volume) AS v50 FROM t GROUP BY 1)
-SELECT ticker_id, CASE WHEN n < 2 THEN 'unknown' WHEN drift > 0.001 THEN 'up' WHEN drift < -0.001 THEN 'down' ELSE 'flat' END AS trend, round((l - b5) / nullif(b5, 0), 6) AS momentum_5,
-  round(sd / nullif(m20, 0), 6) AS volatility_20, round(v10 / nullif(v50, 0), 6) AS volume_ratio FROM g""",
+    "w17_labels": _AVERAGES
+    + f""", m AS (SELECT *, {_ema_sql("close", 12, "x")} - {_ema_sql("close", 26, "x")} AS macd, n - 1 - i AS back FROM x), y AS (SELECT *, {_ema_sql("macd", 9)} AS sig, lag(close) OVER (PARTITION BY ticker_id ORDER BY i) AS pc FROM m),
+t AS (SELECT *, CASE WHEN back < 19 THEN close / nullif(pc, 0) - 1 END AS r FROM y WHERE back < 50),
+h AS (SELECT ticker_id, max(n) AS n, max(close) FILTER (back = 0) AS c0, max(close) FILTER (back = 4) AS c4, arg_min(close, i) AS c49, round(regr_slope(close, i) FILTER (back < 20), 9) AS slope, max(rsi_14) FILTER (back = 0) AS rsi,
+  round(max(macd - sig) FILTER (back = 0), 9) AS md, stddev_samp(r) AS sd, max(high) FILTER (back < 20) AS hi, min(low) FILTER (back < 20) AS lo, {_mean("CASE WHEN back < 20 THEN close END")} AS mean,
+  {_mean("CASE WHEN back < 10 THEN volume END", places=0)} AS vm, max(volume) FILTER (back = 0) AS v0 FROM t GROUP BY 1), k AS (SELECT *, (c0 - c49) / nullif(c49, 0) * 100 AS ch FROM h)
+SELECT ticker_id, CASE WHEN n < 5 THEN 'Insufficient data' WHEN c0 > c4 THEN 'Uptrend' WHEN c0 < c4 THEN 'Downtrend' ELSE 'Sideways' END AS short_term,
+  CASE WHEN n < 10 THEN 'Insufficient data' WHEN slope > 0.1 THEN 'Strong Uptrend' WHEN slope > 0 THEN 'Weak Uptrend' WHEN slope < -0.1 THEN 'Strong Downtrend' WHEN slope < 0 THEN 'Weak Downtrend' ELSE 'Sideways' END AS medium_term,
+  CASE WHEN n < 20 THEN 'Insufficient data' WHEN ch > 10 THEN 'Strong Uptrend' WHEN ch > 5 THEN 'Moderate Uptrend' WHEN ch < -10 THEN 'Strong Downtrend' WHEN ch < -5 THEN 'Moderate Downtrend' ELSE 'Sideways' END AS long_term,
+  CASE WHEN rsi > 70 THEN 'Overbought' WHEN rsi < 30 THEN 'Oversold' WHEN rsi IS NOT NULL THEN 'Neutral' END AS rsi_state, CASE WHEN md > 0 THEN 'Bullish' ELSE 'Bearish' END AS macd_state,
+  CASE WHEN n >= 5 THEN round(sd * 100, 6) END AS daily_volatility, CASE WHEN n >= 5 THEN round((hi - lo) / nullif(mean, 0) * 100, 6) END AS recent_range,
+  CASE WHEN n >= 5 THEN CASE WHEN vm > 0 THEN round(v0 / vm, 6) ELSE 0.0 END END AS volume_ratio, CASE WHEN n >= 5 THEN CASE WHEN v0 > vm THEN 'Increasing' ELSE 'Decreasing' END END AS volume_trend FROM k""",
     "w18_insights": _AVERAGES
-    + """, l AS (SELECT *, lag(close) OVER w AS pc, lag(volume) OVER w AS pv FROM x WINDOW w AS (PARTITION BY ticker_id ORDER BY i))
-SELECT ticker_id, date, concat_ws(' | ', CASE WHEN close > pc THEN 'close up' WHEN close < pc THEN 'close down' END, CASE WHEN rsi_14 > 70 THEN 'overbought' WHEN rsi_14 < 30 THEN 'oversold' END,
-  CASE WHEN close > sma_20 THEN 'above sma 20' WHEN close < sma_20 THEN 'below sma 20' END, CASE WHEN close > sma_50 THEN 'above sma 50' WHEN close < sma_50 THEN 'below sma 50' END,
-  CASE WHEN volume > 1.5 * pv THEN 'volume surge' END) AS insights FROM l WHERE i = n - 1""",
+    + f""", m AS (SELECT *, {_ema_sql("close", 12)} - {_ema_sql("close", 26)} AS macd, {_mean("close", _rows(20))} AS bm, stddev_samp(close) {_rows(20)} AS sd, coalesce(lag(close) OVER (PARTITION BY ticker_id ORDER BY i), close) AS pc FROM x),
+y AS (SELECT *, {_ema_sql("macd", 9)} AS sig FROM m), z AS (SELECT *, round(bm + 2 * sd, 6) AS up2, round(bm - 2 * sd, 6) AS lo2, round(sma_20, 6) AS a, round(sma_50, 6) AS b FROM y WHERE i = n - 1)
+SELECT ticker_id, date, concat_ws(' | ', 'Price Change: ' || printf('%+.2f', {_plain("(close - pc) / nullif(pc, 0) * 100", 6)}::DOUBLE) || '%', CASE WHEN rsi_14 IS NOT NULL THEN 'RSI: ' || printf('%.1f', round(rsi_14, 6)) || ' (' || CASE WHEN rsi_14 > 70 THEN 'Overbought' WHEN rsi_14 < 30 THEN 'Oversold' ELSE 'Neutral' END || ')' END,
+  CASE WHEN round(macd - sig, 9) > 0 THEN 'MACD: Bullish (MACD > Signal)' ELSE 'MACD: Bearish (MACD < Signal)' END,
+  CASE WHEN up2 IS NOT NULL THEN CASE WHEN close > up2 THEN 'Price: Above Bollinger Upper Band (Overbought)' WHEN close < lo2 THEN 'Price: Below Bollinger Lower Band (Oversold)' ELSE 'Price: Within Bollinger Bands (Normal)' END END,
+  CASE WHEN close > a AND a > b THEN 'Moving Averages: Bullish Alignment' WHEN close < a AND a < b THEN 'Moving Averages: Bearish Alignment' ELSE 'Moving Averages: Mixed Signals' END) AS insights FROM z""",
     "w19_changed_values": """WITH f AS (SELECT *, max(report_date) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen, lag(revenue) OVER w AS last, row_number() OVER w AS k
   FROM fundamentals WHERE ticker_id IS NOT NULL AND filing_date IS NOT NULL AND report_date IS NOT NULL WINDOW w AS (PARTITION BY ticker_id ORDER BY filing_date, fundamental_id)),
 g AS (SELECT fundamental_id, ticker_id, seen IS NULL OR report_date > seen AS newer, revenue IS DISTINCT FROM last AS changed FROM f) SELECT * FROM g WHERE newer OR changed""",
