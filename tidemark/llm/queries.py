@@ -18,6 +18,12 @@ from tidemark.tables import table
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` on all cores if its files make fewer tasks than that; larger tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _linked(spark: SparkSession, folder: str) -> DataFrame:
     firms = table(spark, folder, "analyst_recommendations").select(F.lit("firm:0").alias("scope"), F.col("firm").alias("name"))
     owners = table(spark, folder, "insider_transactions").where("ticker_id is not null").select(F.concat(F.lit("owner_name:"), F.col("ticker_id").cast("string")).alias("scope"), F.col("owner_name").alias("name"))
@@ -71,11 +77,11 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return defective_pairs(table(spark, folder, "baseline_results"), "result_id", "prompt", "reasoning")
+    return defective_pairs(spread(table(spark, folder, "baseline_results").select("result_id", "prompt", "reasoning")), "result_id", "prompt", "reasoning")
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encode_column(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
+    return encode_column(spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -95,12 +101,12 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """The statistics and the kind of every document; NULL where it has no words."""
-    out = document_kinds(table(spark, folder, "documents").select("doc_id", "text"))
+    out = document_kinds(spread(table(spark, folder, "documents").select("doc_id", "text")))
     return out.select("doc_id", *[F.round(F.col(f"stats.{s}"), 6).alias(s) for s in STATISTICS], "doc_kind")
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    return document_kinds(table(spark, folder, "documents").select("doc_id", "text")).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
+    return document_kinds(spread(table(spark, folder, "documents").select("doc_id", "text"))).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
 
 
 QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p7_found": p7_found, "p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
