@@ -171,6 +171,42 @@ def test_overlaps_against_brute_force(spark):
     assert overlap.overlap_pairs(*overlap.cross_split_overlaps(df.where("false"))).count() == 0
 
 
+def _near(spark, *texts):
+    """Similarity of each (training text, other text) that is found, by its number."""
+    rows = [(2 * k + side, side == 0, t) for k, two in enumerate(texts) for side, t in enumerate(two)]
+    got = overlap.overlap_pairs(*overlap.cross_split_overlaps(spark.createDataFrame(rows, "id long, train boolean, text string"))).collect()
+    assert all(r["id_other"] == r["id_train"] + 1 for r in got)
+    return {r["id_train"] // 2: r["similarity"] for r in got}
+
+
+def test_repeated_rows_and_long_gaps_are_aligned(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    row = [word() for _ in range(8)]
+    repeated = [word() for _ in range(30)] + row * 60
+    changed = [*repeated]
+    changed[274] = "changed"
+    gap = [word() for _ in range(400)]
+    edited = [w if not 150 <= i < 250 or i % 4 else "changed" for i, w in enumerate(gap)]
+    got = _near(spark, (" ".join(repeated), " ".join(changed)), (" ".join(gap), " ".join(edited)))
+    assert got == {0: pytest.approx(509 / 510), 1: pytest.approx(375 / 400)}
+
+
+def test_common_subsequence_against_table():
+    r = random.Random(4)
+    for _ in range(80):
+        a, b = ([r.choice("abcd") for _ in range(r.randrange(25))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert overlap.common_length(a, b) == table[-1][-1]
+        for bits in (1 << 28, 10):
+            places = overlap.common_places(a, b, bits)
+            assert len(places) == table[-1][-1]
+            assert all(a[i] == b[j] for i, j in places)
+
+
 FIRMS = {
     "a": ["Marlow Tenby Securities", "MARLOW TENBY SECURITIES", "Marlow Tenby Sec.", "Securities - Marlow Tenby", "Marlow Tenbby Securities", "Marlow Tenby Secuirties Ltd", "M.T.S.", "Marlow Tenby"],
     "b": ["Marlow Quilter Trust", "The Marlow Quilter Tr"],

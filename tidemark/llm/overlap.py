@@ -1,7 +1,7 @@
 """Same or near-same records across splits.
 
 Winnowing fingerprints of each text are joined across the splits, the shared
-ones are chained in order, the chain is extended by alignment, and a pair
+ones make candidates, these are aligned word by word, and a pair
 counts if enough of both texts is covered.
 """
 
@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import bisect
 import re
-from collections.abc import Iterator
-from difflib import SequenceMatcher
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-GRAM, WINDOW, GAP = 40, 20, 40
+GRAM, WINDOW, SEED = 40, 20, 6
 CHUNK = 256
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -89,51 +88,123 @@ def chain(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def aligned_words(a: list[str], b: list[str], seeds: list[tuple[int, int]], gap: int = GAP) -> int:
-    """Words matched by chains of seeds and by alignment of what lies between a chain's seeds.
+def _rows(a: Sequence, b: Sequence) -> Iterator[int]:
+    """For each prefix of b the bits of a; a bit is 0 where a's prefix up to it has one more word in common than the one before."""
+    places: dict = {}
+    for i, w in enumerate(a):
+        places[w] = places.get(w, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for w in b:
+        u = v & places.get(w, 0)
+        v = ((v + u) | (v - u)) & full
+        yield v
+
+
+def common_length(a: Sequence, b: Sequence) -> int:
+    """Length of the longest common subsequence."""
+    v = (1 << len(a)) - 1
+    for v in _rows(a, b):  # noqa: B007
+        pass
+    return len(a) - v.bit_count()
+
+
+def _heads(a: Sequence, b: Sequence) -> np.ndarray:
+    """What each prefix of a, the empty one first, has in common with b."""
+    v = (1 << len(a)) - 1
+    for v in _rows(a, b):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(a) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(a)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def common_places(a: Sequence, b: Sequence, bits: int = 1 << 28) -> list[tuple[int, int]]:
+    """(place in a, place in b) of a longest common subsequence; halves b while the table has more than `bits`."""
+    if len(b) > 1 and len(a) * len(b) > bits:
+        half = len(b) // 2
+        cut = int(np.argmax(_heads(a, b[:half]) + _heads(a[::-1], b[half:][::-1])[::-1]))
+        return common_places(a[:cut], b[:half], bits) + [(i + cut, j + half) for i, j in common_places(a[cut:], b[half:], bits)]
+    rows, out, i, j = list(_rows(a, b)), [], len(a), len(b)
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif rows[j - 1] >> (i - 1) & 1:
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
 
-    Seeds are letter positions in the two canonical texts. When a chain is
-    done, the seeds it left over are chained anew, so passages that changed
-    places count too; no word counts twice. Stretches of more than `gap` words
-    between two seeds aren't aligned: what they share has seeds of its own.
+def seeds_of(a: Sequence, b: Sequence, size: int = SEED) -> list[tuple[int, int]]:
+    """Places of the runs of `size` words in both; the k-th time a run stands in one goes with the k-th in the other."""
+    at: dict = {}
+    for j in range(len(b) - size + 1):
+        at.setdefault(tuple(b[j : j + size]), []).append(j)
+    seen: dict = {}
+    out = []
+    for i in range(len(a) - size + 1):
+        g = tuple(a[i : i + size])
+        k = seen[g] = seen.get(g, -1) + 1
+        if k < len(at.get(g, ())):
+            out.append((i, at[g][k]))
+    return out
+
+
+def moved_words(a: Sequence, b: Sequence) -> int:
+    """Words matched by chains of seeds and by alignment of all that lies between and around a chain's seeds.
+
+    When a chain is done, the seeds it left over are chained anew, so passages
+    that changed places count too; no word counts twice. Then the gaps are
+    aligned, chain by chain: those of the first whole, those around a moved
+    passage up to the next matched word.
     """
-    starts_a = np.concatenate([[0], np.cumsum([len(w) for w in a])]).astype(np.int64)
-    starts_b = np.concatenate([[0], np.cumsum([len(w) for w in b])]).astype(np.int64)
     used_a, used_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
-    # the first whole word of each seed
-    at = {(int(np.searchsorted(starts_a, p)), int(np.searchsorted(starts_b, q))) for p, q in seeds}
-    at = {(i, j) for i, j in at if i < len(a) and j < len(b)}
-    matched = 0
-    while True:
-        left = [(i, j) for i, j in at if not used_a[i] and not used_b[j] and a[i] == b[j]]
-        run = chain(left)
-        if not run:
-            return matched
-        before = matched
-        end_a = end_b = None
-        for i, j in [*run, (None, None)]:
-            if i is not None and end_a is not None and (i < end_a or j < end_b):
+    left, chains, matched = seeds_of(a, b), [], 0
+    while left:
+        runs: list[tuple[int, int, int]] = []
+        for i, j in chain(left):
+            if runs and (i < runs[-1][0] + runs[-1][2] or j < runs[-1][1] + runs[-1][2]):
                 continue
-            if i is None:
-                gap_a, gap_b = range(end_a, min(len(a), end_a + gap)), range(end_b, min(len(b), end_b + gap))
-            elif end_a is None:
-                gap_a, gap_b = range(max(0, i - gap), i), range(max(0, j - gap), j)
-            else:
-                gap_a, gap_b = range(end_a, i), range(end_b, j)
-            if gap_a and gap_b and len(gap_a) <= gap and len(gap_b) <= gap:
-                free_a, free_b = [x for x in gap_a if not used_a[x]], [y for y in gap_b if not used_b[y]]
-                for m in SequenceMatcher(None, [a[x] for x in free_a], [b[y] for y in free_b], autojunk=False).get_matching_blocks():
-                    for k in range(m.size):
-                        used_a[free_a[m.a + k]] = used_b[free_b[m.b + k]] = True
-                    matched += m.size
-            if i is None:
-                break
-            end_a, end_b = i, j
-            while end_a < len(a) and end_b < len(b) and a[end_a] == b[end_b] and not used_a[end_a] and not used_b[end_b]:
-                used_a[end_a] = used_b[end_b] = True
-                end_a, end_b, matched = end_a + 1, end_b + 1, matched + 1
-        if matched == before:
-            return matched
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used_a[i + n] and not used_b[j + n]:
+                used_a[i + n] = used_b[j + n] = True
+                n += 1
+            if n:
+                runs.append((i, j, n))
+                matched += n
+        if not runs:
+            break
+        chains.append(runs)
+        # what is left of a run partly used is no seed of its own
+        left = [(i, j) for i, j in left if not used_a[i : i + SEED].any() and not used_b[j : j + SEED].any()]
+    for c, runs in enumerate(chains):
+        lo_a = lo_b = 0
+        hi_a, hi_b = len(a), len(b)
+        if c:
+            lo_a, lo_b = runs[0][0], runs[0][1]
+            hi_a, hi_b = runs[-1][0] + runs[-1][2], runs[-1][1] + runs[-1][2]
+            while lo_a and not used_a[lo_a - 1]:
+                lo_a -= 1
+            while lo_b and not used_b[lo_b - 1]:
+                lo_b -= 1
+            while hi_a < len(a) and not used_a[hi_a]:
+                hi_a += 1
+            while hi_b < len(b) and not used_b[hi_b]:
+                hi_b += 1
+        for i, j, n in [*runs, (hi_a, hi_b, 0)]:
+            free_a, free_b = [x for x in range(lo_a, i) if not used_a[x]], [y for y in range(lo_b, j) if not used_b[y]]
+            if free_a and free_b:
+                for x, y in common_places([a[x] for x in free_a], [b[y] for y in free_b]):
+                    used_a[free_a[x]] = used_b[free_b[y]] = True
+                    matched += 1
+            lo_a, lo_b = i + n, j + n
+    return matched
+
+
+def aligned_words(a: Sequence, b: Sequence) -> int:
+    """Words that two texts share in order, or with moved passages where that is more."""
+    return max(common_length(a, b), moved_words(a, b))
 
 
 def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, seed_share: float = 0.4, seeds_needed: int = 4, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -190,25 +261,21 @@ def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, seed
     right = keys.where("in_other").select("h", F.col("class").alias("b"), F.col("need").alias("need_b"))
     pairs = left.join(right, "h").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("c"), F.min(F.least("need_a", "need_b")).alias("need")).where("c >= need").select("a", "b")
 
-    side = lambda x: texts.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("text", "h", "p")])
+    side = lambda x: texts.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("text", "h")])
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
-            for a, b, ta, tb, ha, hb, pa, pb in zip(f["a"], f["b"], f["text_a"], f["text_b"], f["h_a"], f["h_b"], f["p_a"], f["p_b"], strict=True):
+            for a, b, ta, tb, ha, hb in zip(f["a"], f["b"], f["text_a"], f["text_b"], f["h_a"], f["h_b"], strict=True):
                 wa, wb = words_of(ta), words_of(tb)
                 # lengths alone can rule a pair out
                 if 2 * min(len(wa), len(wb)) < least_similarity * (len(wa) + len(wb)):
                     continue
-                at: dict[int, list[int]] = {}
-                for h, p in zip(hb.tolist(), pb.tolist(), strict=True):
-                    at.setdefault(h, []).append(p)
-                hits = [(p, at[h]) for h, p in zip(ha.tolist(), pa.tolist(), strict=True) if h in at]
-                if len(hits) < 0.5 * seed_share * min(len(ha), len(hb)):
+                at = set(hb.tolist())
+                if sum(h in at for h in ha.tolist()) < 0.5 * seed_share * min(len(ha), len(hb)):
                     continue
-                seeds = [(p, q) for p, qs in hits if len(qs) <= 4 for q in qs] or [(p, qs[0]) for p, qs in hits]
-                m = aligned_words(wa, wb, seeds)
+                m = aligned_words(wa, wb)
                 similarity = 2 * m / (len(wa) + len(wb))
                 if similarity >= least_similarity:
                     rows.append((a, b, similarity, m / len(wa), m / len(wb)))
