@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -192,6 +193,31 @@ def test_repeated_rows_and_long_gaps_are_aligned(spark):
     assert got == {0: pytest.approx(509 / 510), 1: pytest.approx(375 / 400)}
 
 
+def test_scattered_edits_are_found(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9)))
+    texts = []
+    for n, rate in [(300, 0.1), (300, 0.15), (300, 0.19), (30, 0.07), (30, 0.15)] * 4:
+        a = [word() for _ in range(n)]
+        b = [*a]
+        for i in r.sample(range(n), int(n * rate)):
+            b[i] = word()
+        texts.append((" ".join(a), " ".join(b)))
+    far = [word() for _ in range(100)]
+    texts.append((" ".join(far), " ".join(w if i % 4 else word() for i, w in enumerate(far))))
+    assert set(_near(spark, *texts)) == set(range(20))
+
+
+def test_like_bags_against_brute_force():
+    r = random.Random(8)
+    left, right = ([np.array([r.randrange(25) ** 2 for _ in range(r.randrange(1, 60))]) for _ in range(n)] for n in (70, 50))
+    common = lambda a, b: (Counter(a.tolist()) & Counter(b.tolist())).total()
+    want = {(i, j) for i, a in enumerate(left) for j, b in enumerate(right) if 2 * common(a, b) >= 0.5 * (len(a) + len(b))}
+    got = list(overlap.like_bags(left, right, 0.5, 16, 7))
+    assert set(got) == want
+    assert len(got) == len(want) > 0
+
+
 def test_common_subsequence_against_table():
     r = random.Random(4)
     for _ in range(80):

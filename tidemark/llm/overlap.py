@@ -1,13 +1,16 @@
 """Same or near-same records across splits.
 
-Winnowing fingerprints of each text are joined across the splits, the shared
-ones make candidates, these are aligned word by word, and a pair
-counts if enough of both texts is covered.
+Texts of like length meet in tiles. A pair whose words, taken without order,
+can't reach the similarity is dropped there; what is left is aligned word by
+word, moved passages by chained seeds, and a pair counts if enough of both
+texts is covered.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage
 
 GRAM, WINDOW, SEED = 40, 20, 6
-CHUNK = 256
+CHUNK, TILE = 256, 4096
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 UNBASE = pow(BASE, -1, 1 << 64)
@@ -207,17 +210,77 @@ def aligned_words(a: Sequence, b: Sequence) -> int:
     return max(common_length(a, b), moved_words(a, b))
 
 
-def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, seed_share: float = 0.4, seeds_needed: int = 4, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def _numbered(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, token) for all words; a token is a word and how often it stood in the text before."""
+    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    word = np.concatenate(texts)
+    order = np.lexsort((word, doc))
+    doc, word = doc[order], word[order]
+    first = np.ones(len(doc), bool)
+    first[1:] = (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])
+    place = np.arange(len(doc))
+    nth = place - np.maximum.accumulate(np.where(first, place, 0))
+    with np.errstate(over="ignore"):
+        return doc, word.astype(np.uint64) + nth.astype(np.uint64) * np.uint64(BASE)
+
+
+def like_bags(left: list[np.ndarray], right: list[np.ndarray], least_similarity: float, chunk: int = 512, columns: int = 2048) -> Iterator[tuple[int, int]]:
+    """All pairs whose words, taken without order, are alike enough: no alignment can match more.
+
+    Frequent tokens are counted by matrix products, rare ones by their lists.
+    """
+    (doc_a, tok_a), (doc_b, tok_b) = _numbered(left), _numbered(right)
+    both = np.intersect1d(tok_a, tok_b)
+    sides = []
+    for doc, tok in ((doc_a, tok_a), (doc_b, tok_b)):
+        at = np.minimum(np.searchsorted(both, tok), max(len(both) - 1, 0))
+        keep = both[at] == tok if len(both) else np.zeros(len(tok), bool)
+        sides.append((doc[keep], at[keep]))
+    (doc_a, tok_a), (doc_b, tok_b) = sides
+    hits = np.bincount(tok_a, minlength=len(both)) * np.bincount(tok_b, minlength=len(both))
+    frequent = hits * 200 > len(left) * len(right)
+    column = np.cumsum(frequent) - 1
+    n_frequent = int(frequent.sum())
+    len_a, len_b = np.array([len(t) for t in left]), np.array([len(t) for t in right])
+    # the rare tokens of the right side by token
+    rare = ~frequent[tok_b]
+    order = np.argsort(tok_b[rare], kind="stable")
+    rare_doc, starts = doc_b[rare][order], np.searchsorted(tok_b[rare][order], np.arange(len(both) + 1))
+    for x0 in range(0, len(left), chunk):
+        x1 = min(x0 + chunk, len(left))
+        mine = (doc_a >= x0) & (doc_a < x1)
+        rows, toks = doc_a[mine] - x0, tok_a[mine]
+        count = np.zeros((x1 - x0, len(right)), np.float32)
+        for c0 in range(0, n_frequent, columns):
+            width = min(columns, n_frequent - c0)
+            one, two = np.zeros((x1 - x0, width), np.float32), np.zeros((len(right), width), np.float32)
+            for m, d, t in ((one, rows, toks), (two, doc_b, tok_b)):
+                inside = frequent[t] & (column[t] >= c0) & (column[t] < c0 + width)
+                m[d[inside], column[t[inside]] - c0] = 1
+            count += one @ two.T
+        few = ~frequent[toks]
+        r, t = rows[few], toks[few]
+        n = starts[t + 1] - starts[t]
+        if n.sum():
+            at = np.repeat(starts[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            count += np.bincount(np.repeat(r, n) * len(right) + rare_doc[at], minlength=count.size).reshape(count.shape)
+        found = 2 * count >= least_similarity * (len_a[x0:x1, None] + len_b[None, :]) - 1e-3
+        for i, j in np.argwhere(found).tolist():
+            yield x0 + i, j
+
+
+def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, tile: int = TILE) -> DataFrame:
     """Pairs of different texts, one in the training split and one outside it, that are light edits of each other.
 
     records: (id LONG, train BOOLEAN, text STRING). A text's similarity to
     another is twice the words aligned over the words of both; a pair needs
-    `least_similarity`. Candidates share at least `seed_share` of either text's
-    fingerprints. Of two sets of n that share so many, the n - seed_share * n + k
-    rarest of each have k in common, so only those are joined, and pairs with
-    fewer than k = `seeds_needed` in common are dropped (fewer are needed where
-    seed_share * n is less). Common fingerprints of the layout or of stock
-    phrases come last in this order and gather no records.
+    `least_similarity`. Aligned are the longest common subsequence of words or,
+    where that is more, passages that changed places (those with a run of SEED
+    words in common, and what is alike around it). Every pair whose lengths and
+    whose words without order allow the similarity is aligned, so no candidate
+    is lost. Texts meet in tiles of about `tile` by `tile` texts whose lengths
+    are within the ratio the similarity allows; the work is the product of the
+    two splits' texts of like length.
 
     Result: (class_train, class_other, similarity, coverage_train,
     coverage_other) between classes of exactly the same canonical text, and
@@ -236,52 +299,57 @@ def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, seed
     reps = known.groupBy("sha").agg(F.min("id").alias("class"), F.max("train").alias("in_train"), F.max(~F.col("train")).alias("in_other"), F.min_by("text", "id").alias("text"))
     members = cut_lineage(known.select("id", "train", "sha").join(reps.select("sha", "class"), "sha").select("id", "train", "class"), "members")
 
-    def prints(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # lengths further apart than this can't be alike; a band is a little wider, so only neighbouring bands meet
+    ratio = (2 - least_similarity) / least_similarity * 1.05
+
+    def sequences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers: dict[str, int] = {}
         for f in frames:
             for k in range(0, len(f), CHUNK):
                 part = f.iloc[k : k + CHUNK].copy()
-                found = [fingerprints(canonical(t), gram, window) for t in part["text"]]
-                part["h"] = [np.array([h for _, h in x], dtype=np.int64) for x in found]
-                part["p"] = [np.array([p for p, _ in x], dtype=np.int32) for x in found]
-                yield part
-
-    texts = cut_lineage(reps.select("class", "in_train", "in_other", "text").mapInPandas(prints, "class long, in_train boolean, in_other boolean, text string, h array<long>, p array<int>"), "prints")
-    grams = texts.select("class", F.size(F.array_distinct("h")).alias("n"), F.explode(F.array_distinct("h")).alias("h"))
-    shared = grams.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    # fingerprints of one class only are the rarest and join nothing, but fill their places in the prefix
-    known_grams = grams.join(shared, "h")
-    w = Window.partitionBy("class")
-    place = F.row_number().over(w.orderBy("df", "h")) + F.col("n") - F.count("*").over(w)
-    share = F.ceil(F.col("n") * seed_share)
-    need = F.least(F.lit(seeds_needed), share).cast("int").alias("need")
-    keys = known_grams.withColumn("place", place).where(F.col("place") <= F.col("n") - share + need)
-    sides = texts.select("class", "in_train", "in_other")
-    keys = cut_lineage(keys.select("class", "h", need).join(sides, "class"), "prefixes")
-    left = keys.where("in_train").select("h", F.col("class").alias("a"), F.col("need").alias("need_a"))
-    right = keys.where("in_other").select("h", F.col("class").alias("b"), F.col("need").alias("need_b"))
-    pairs = left.join(right, "h").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("c"), F.min(F.least("need_a", "need_b")).alias("need")).where("c >= need").select("a", "b")
-
-    side = lambda x: texts.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("text", "h")])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for a, b, ta, tb, ha, hb in zip(f["a"], f["b"], f["text_a"], f["text_b"], f["h_a"], f["h_b"], strict=True):
-                wa, wb = words_of(ta), words_of(tb)
-                # lengths alone can rule a pair out
-                if 2 * min(len(wa), len(wb)) < least_similarity * (len(wa) + len(wb)):
-                    continue
-                at = set(hb.tolist())
-                if sum(h in at for h in ha.tolist()) < 0.5 * seed_share * min(len(ha), len(hb)):
+                found = []
+                for t in part["text"]:
+                    words = words_of(t)
+                    for w in set(words) - numbers.keys():
+                        numbers[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                    found.append(np.array([numbers[w] for w in words], dtype=np.int64))
+                    if len(numbers) > 1_000_000:
+                        numbers.clear()
+                part["words"] = found
+                part["band"] = [int(math.log(len(x)) / math.log(ratio)) for x in found]
+                yield part[["class", "in_train", "in_other", "words", "band"]]
+
+    texts = cut_lineage(reps.select("class", "in_train", "in_other", "text").mapInPandas(sequences, "class long, in_train boolean, in_other boolean, words array<long>, band int"), "sequences")
+    sizes = texts.groupBy("band").agg(F.count_if("in_train").alias("left"), F.count_if("in_other").alias("right")).collect()
+    tiles = {side: {r["band"]: -(-r[side] // tile) for r in sizes if r[side]} for side in ("left", "right")}
+
+    def placed(mine: str, other: str, flag: str) -> DataFrame:
+        """The texts of one side, once for each tile of the other side's bands they meet."""
+        n = lambda side, band: F.coalesce(F.create_map(*[F.lit(x) for kv in [(-9, 0), *tiles[side].items()] for x in kv])[band], F.lit(0))
+        x = texts.where(flag).withColumn("at", F.pmod(F.xxhash64("class"), n(mine, F.col("band"))).cast("int"))
+        x = x.withColumn("other_band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)]))).withColumn("n", n(other, F.col("other_band"))).where("n > 0")
+        x = x.withColumn("other_at", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+        ends = {"left": ("band", "at", "other_band", "other_at"), "right": ("other_band", "other_at", "band", "at")}[mine]
+        return x.select(F.concat_ws(",", *[F.col(c).cast("string") for c in ends]).alias("tile"), F.lit(mine == "left").alias("train"), "class", "words")
+
+    def meet(f: pd.DataFrame) -> pd.DataFrame:
+        a, b = f[f["train"]], f[~f["train"]]
+        rows = []
+        if len(a) and len(b):
+            ids_a, ids_b, words_a, words_b = a["class"].tolist(), b["class"].tolist(), a["words"].tolist(), b["words"].tolist()
+            for i, j in like_bags(words_a, words_b, least_similarity):
+                if ids_a[i] == ids_b[j]:
                     continue
-                m = aligned_words(wa, wb)
-                similarity = 2 * m / (len(wa) + len(wb))
+                one, two = words_a[i].tolist(), words_b[j].tolist()
+                m = aligned_words(one, two)
+                similarity = 2 * m / (len(one) + len(two))
                 if similarity >= least_similarity:
-                    rows.append((a, b, similarity, m / len(wa), m / len(wb)))
-            yield pd.DataFrame(rows, columns=["class_train", "class_other", "similarity", "coverage_train", "coverage_other"])
+                    rows.append((ids_a[i], ids_b[j], similarity, m / len(one), m / len(two)))
+        return pd.DataFrame(rows, columns=["class_train", "class_other", "similarity", "coverage_train", "coverage_other"])
 
-    links = both.mapInPandas(verify, "class_train long, class_other long, similarity double, coverage_train double, coverage_other double")
+    pairs_of_tiles = sum(n * tiles["right"].get(band + d, 0) for band, n in tiles["left"].items() for d in (-1, 0, 1))
+    both = placed("left", "right", "in_train").unionByName(placed("right", "left", "in_other")).repartition(max(1, min(4 * pairs_of_tiles, 4096)), "tile")
+    links = both.groupBy("tile").applyInPandas(meet, "class_train long, class_other long, similarity double, coverage_train double, coverage_other double")
     return cut_lineage(links, "links"), members
 
 
