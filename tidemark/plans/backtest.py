@@ -167,9 +167,15 @@ def d26_adapter(spark: SparkSession, folder: str) -> DataFrame:
     return e.select("result_id", F.concat_ws(" | ", F.upper(F.trim("predicted_action")), F.substring("reasoning", 1, 80), F.when(F.length("support") > 0, "supported")).alias("legacy"))
 
 
+def d26_whole_adapter(spark: SparkSession, folder: str) -> DataFrame:
+    """As d26_adapter, with reasoning and support whole."""
+    e = table(spark, folder, "baseline_results").where("reasoning is not null")
+    return e.select("result_id", F.concat_ws(" | ", F.upper(F.trim("predicted_action")), "reasoning", F.when(F.length("support") > 0, F.col("support"))).alias("legacy"))
+
+
 QUERIES = {f.__name__: f for f in (
     d18_d19_strategies, a23_action_stats, a24_a25_portfolio, a26_comparison, d20_errors, d10_d16_rewards, d15_history_sharpe, d17_d21_predictions, d22_chronological_split, d23_assembly, d24_example_errors,
-    a31_d25_split_counts, d04_a28_past_returns, d26_adapter,
+    a31_d25_split_counts, d04_a28_past_returns, d26_adapter, d26_whole_adapter,
 )}
 
 _CLEAN = "CASE WHEN regexp_replace(lower(trim({c})), '[\\s\\-]+', '_', 'g') IN ('strong_buy', 'buy', 'hold', 'sell', 'strong_sell') THEN regexp_replace(lower(trim({c})), '[\\s\\-]+', '_', 'g') END"
@@ -220,4 +226,5 @@ SELECT * FROM r WHERE errors <> ''""",
     "d04_a28_past_returns": f"""WITH e AS (SELECT example_id, metadata.ticker AS ticker, {_DAY.format(c="metadata.entry_date")} AS day, ground_truth.actual_return_pct AS r FROM rlvr_examples), f AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY day, example_id) AS i FROM e WHERE ticker IS NOT NULL AND day IS NOT NULL AND r IS NOT NULL)
 SELECT a.example_id, count(*) AS n, round(sum(b.r), 4) AS total, arg_max(b.r, b.i) AS newest, arg_min(b.r, b.i) AS oldest FROM f a JOIN f b ON a.ticker = b.ticker AND b.i BETWEEN a.i - 30 AND a.i - 1 GROUP BY 1""",
     "d26_adapter": "SELECT result_id, concat_ws(' | ', upper(trim(predicted_action)), substr(reasoning, 1, 80), CASE WHEN length(support) > 0 THEN 'supported' END) AS legacy FROM baseline_results WHERE reasoning IS NOT NULL",
+    "d26_whole_adapter": "SELECT result_id, concat_ws(' | ', upper(trim(predicted_action)), reasoning, CASE WHEN length(support) > 0 THEN support END) AS legacy FROM baseline_results WHERE reasoning IS NOT NULL",
 }
