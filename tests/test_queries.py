@@ -55,3 +55,15 @@ def test_adapter_keeps_all_text(spark):
     rows = spark.read.parquet(f"{FOLDER}/baseline_results.parquet").where("reasoning is not null").collect()
     assert len(got) == len(rows) and any(len(r["reasoning"]) > 80 for r in rows)
     assert all(r["reasoning"] in got[r["result_id"]] and (r["support"] or "") in got[r["result_id"]] for r in rows)
+
+
+def test_records_hold_every_section(spark):
+    from tidemark.plans import pit
+
+    rows = [r.asDict(recursive=True) for r in pit.point_in_time_records(spark, FOLDER).collect()]
+    assert len(rows) == pit.spine(spark, FOLDER).count()
+    assert all(any(r[c] for r in rows) for c in ["fundamentals", *pit.SECTIONS])
+    for r in rows:
+        assert all(len(r[c]) <= n for c, n in (("technical", 30), ("older_articles", 75), ("insider_transactions", 20), ("analyst_recommendations", 50)))
+        assert all(x["date"] < r["as_of"] for c in ("technical", "sentiment_features", "macro", "analyst_recommendations") for x in r[c])
+        assert all(x["published_at"].date() < r["as_of"] for c in ("recent_articles", "older_articles") for x in r[c])

@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from tidemark.operators.asknown import as_known
 from tidemark.operators.ranks import month_of, ordered_index
 from tidemark.operators.series import indexed, plain_zero
-from tidemark.operators.trailing import clean_double
-from tidemark.plans.shared import ARTICLES, BARS, SERIES, articles, bars, series
+from tidemark.operators.trailing import clean_double, latest_delivery
+from tidemark.plans.features import ORACLES as FEATURES
+from tidemark.plans.features import a08_w13_sentiment
+from tidemark.plans.shared import ARTICLES, BARS, PRICES, SERIES, articles, bars, series
 from tidemark.tables import table
 
 K = "ticker_id"
 AS_OF = "2024-12-31"
+INDICATORS = ["sma_20", "sma_50", "ema_20", "rsi_14", "macd", "macd_signal", "bollinger_upper", "bollinger_lower"]
+FILING = [
+    "report_date", "filing_date", "market_cap", "pe_ratio", "eps", "revenue", "net_income", "operating_income", "total_assets", "total_liabilities", "stockholder_equity", "total_debt", "cash_and_equivalents", "revenue_qoq_pct",
+    "revenue_yoy_pct",
+]
+SECTIONS = ["technical", "recent_articles", "older_articles", "sentiment_features", "macro", "insider_transactions", "analyst_recommendations"]
 
 
 def spine(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,9 +241,83 @@ def d29_point_in_time(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def point_in_time_records(spark: SparkSession, folder: str) -> DataFrame:
+    """One nested record a ticker and day, nothing of the day itself or later.
+
+    technical: the last 30 bars with their indicators; fundamentals: the filing
+    known; recent_articles with their content and older_articles with their
+    summary; sentiment_features: the days with news of the last 7; macro: the
+    latest value of each series; the last 20 insider_transactions and up to 50
+    analyst_recommendations. Lists start with `pos` and are empty where nothing
+    is known; all but the older articles, the best scored first, go from the
+    latest back.
+    """
+    asks = spine(spark, folder)
+    numbered = lambda *order: F.row_number().over(Window.partitionBy(K, "as_of").orderBy(*order)).alias("pos")
+
+    def gathered(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(K, "as_of").agg(F.sort_array(F.collect_list(F.struct("pos", *[c for c in rows.columns if c not in (K, "as_of", "pos")]))).alias(name))
+
+    raw = table(spark, folder, "market_data").where("ticker_id is not null and date is not null")
+    full = latest_delivery(raw, [K, "date"], ["created_at", "market_data_id"], [*PRICES, "volume", *INDICATORS])
+    full = full.withColumns({c: clean_double(c) for c in [*PRICES, *INDICATORS]})
+    technical = t01_last_bars(spark, folder).select(K, "as_of", "date", (F.col("bars_back") + 1).alias("pos")).join(full, [K, "date"])
+
+    filings = table(spark, folder, "fundamentals").where("filing_date is not null")
+    out = as_known(asks, filings, K, "as_of", F.col("filing_date"), [F.col("filing_date"), F.col("fundamental_id")], ["fundamental_id", *FILING]).withColumnRenamed("as_known", "fundamentals")
+
+    n = table(spark, folder, "news").select("news_id", "published_at", "headline", "source", "url", clean_double("sentiment_score").alias("sentiment_score"), "sentiment_label", "summary")
+    recent = t02_recent_news(spark, folder).join(n.withColumnRenamed("summary", "content"), "news_id")
+    recent = recent.select("*", numbered(F.desc("published_at"), F.desc("news_id")))
+    older = t03_older_news(spark, folder).withColumnRenamed("rn", "pos").join(n, "news_id")
+
+    week = asks.withColumn("date", F.explode(F.sequence(F.date_sub("as_of", 7), F.date_sub("as_of", 1))))
+    sentiment = week.join(a08_w13_sentiment(spark, folder).select(K, "date", "sentiment_7", "articles_7", "article_count"), [K, "date"])
+    sentiment = sentiment.select("*", numbered(F.desc("date")))
+
+    obs = _observations(spark, folder)
+    days = asks.select("as_of").distinct().select("as_of", F.explode(F.array(*[F.lit(str(i)) for i in range(1, 6)])).alias("series_id"))
+    macro = as_known(days, obs, "series_id", "as_of", F.col("date"), [F.col("date")], ["date", "value"], how="inner")
+    macro = macro.groupBy("as_of").agg(F.sort_array(F.collect_list(F.struct(F.col("series_id").cast("int").alias("pos"), "series_id", "as_known.date", "as_known.value"))).alias("macro"))
+
+    t = table(spark, folder, "insider_transactions").select("transaction_id", "transaction_date", "owner_name", "transaction_code", "shares", "transaction_price", "transaction_amount", "shares_owned_after")
+    trades = t04_last_insider(spark, folder).withColumnRenamed("rn", "pos").join(t, "transaction_id")
+    r = table(spark, folder, "analyst_recommendations").select("recommendation_id", "date", "firm", "firm_id", "action", "rating", "target_price", "analyst_insights", "updated_timestamp")
+    ratings = t04_last_ratings(spark, folder).withColumnRenamed("rn", "pos").join(r, "recommendation_id")
+
+    for rows, name in ((technical, "technical"), (recent, "recent_articles"), (older, "older_articles"), (sentiment, "sentiment_features"), (trades, "insider_transactions"), (ratings, "analyst_recommendations")):
+        out = out.join(gathered(rows, name), [K, "as_of"], "left")
+    out = out.join(macro, "as_of", "left")
+    return out.select(K, "as_of", "fundamentals", *[F.coalesce(c, F.array().cast(out.schema[c].dataType)).alias(c) for c in SECTIONS])
+
+
+def d29_d30_record_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The point-in-time records, one row for each entry of a list and for the filing, with its text and two of its numbers."""
+    number = lambda c: c.cast("double")
+    text = lambda *cs: F.concat_ws("|", *cs)
+
+    def item(section: str, pos: Column, key: Column, day: Column, words: Column, value: Column, other: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), pos.cast("int").alias("pos"), key.cast("string").alias("item"), day.cast("date").alias("day"), words.cast("string").alias("text"), number(value).alias("value"), number(other).alias("other"))
+
+    none = F.lit(None)
+    parts = {
+        "technical": lambda x: item("technical", x["pos"], x["date"], x["date"], none, x["close"], x["rsi_14"]),
+        "recent_articles": lambda x: item("recent_articles", x["pos"], x["news_id"], x["published_at"], text(x["headline"], x["source"], x["content"]), x["sentiment_score"], none),
+        "older_articles": lambda x: item("older_articles", x["pos"], x["news_id"], x["published_at"], text(x["headline"], x["source"], x["summary"]), x["sentiment_score"], none),
+        "sentiment_features": lambda x: item("sentiment_features", x["pos"], x["date"], x["date"], none, x["sentiment_7"], x["article_count"]),
+        "macro": lambda x: item("macro", x["pos"], x["series_id"], x["date"], none, x["value"], none),
+        "insider_transactions": lambda x: item("insider_transactions", x["pos"], x["transaction_id"], x["transaction_date"], text(x["owner_name"], x["transaction_code"]), x["shares"], x["transaction_price"]),
+        "analyst_recommendations": lambda x: item("analyst_recommendations", x["pos"], x["recommendation_id"], x["date"], text(x["firm"], x["rating"], x["analyst_insights"]), x["target_price"], none),
+    }
+    f = F.col("fundamentals")
+    filing = F.when(f.isNotNull(), F.array(item("fundamentals", F.lit(1), f["fundamental_id"], f["filing_date"], none, f["revenue"], f["eps"])))
+    lists = [F.coalesce(filing, F.filter(F.array(item("fundamentals", F.lit(1), none, none, none, none, none)), lambda x: F.lit(False))), *[F.transform(c, parts[c]) for c in SECTIONS]]
+    return point_in_time_records(spark, folder).select(K, "as_of", F.explode(F.concat(*lists)).alias("x")).select(K, "as_of", "x.*")
+
+
 QUERIES = {f.__name__: f for f in (
     t01_last_bars, t02_recent_news, t03_older_news, t04_last_insider, t04_last_ratings, j09_inclusive_filing, j08_w15_macro, j11_d01_outcomes, j13_d06_calendar_exit, j15_windowed_lookback, j16_d34_last_days,
-    a07_coverage, a32_d32_gaps, d27_first_seen, d28_age_tiers, d29_point_in_time, d31_freshness, d33_news_buckets,
+    a07_coverage, a32_d32_gaps, d27_first_seen, d28_age_tiers, d29_point_in_time, d29_d30_record_items, d31_freshness, d33_news_buckets,
 )}
 
 _SPINE = "spine AS (SELECT DISTINCT ticker_id, date AS as_of FROM analyst_recommendations WHERE ticker_id IS NOT NULL AND date IS NOT NULL)"
@@ -291,6 +373,25 @@ SELECT ticker_id, CASE WHEN age <= 7 THEN 'recent' WHEN age <= 30 THEN 'medium'
 t AS (SELECT ticker_id, as_of, count(*) AS n_bars, arg_max(close, date) AS last_close, CAST(max(date) AS VARCHAR) AS last_bar FROM lb WHERE rn <= 30 GROUP BY 1, 2), i AS (SELECT ticker_id, as_of, string_agg(CAST(transaction_id AS VARCHAR), ',' ORDER BY transaction_id) AS trades FROM tr WHERE rn <= 20 GROUP BY 1, 2),
 n AS (SELECT d3.ticker_id, as_of, count(*) AS n_news, max(news_id) AS last_news FROM d3 JOIN art USING (ticker_id, day) WHERE rn <= 3 GROUP BY 1, 2)
 SELECT * FROM f LEFT JOIN t USING (ticker_id, as_of) LEFT JOIN i USING (ticker_id, as_of) LEFT JOIN n USING (ticker_id, as_of)""",
+    "d29_d30_record_items": f"""WITH {_LAST_BARS}, {_DAYS3}, {_TRADES}, {_OBS},
+o AS (SELECT ticker_id, as_of, min(day) AS oldest FROM d3 WHERE rn <= 3 GROUP BY 1, 2),
+old AS (SELECT o.ticker_id, as_of, news_id, row_number() OVER (PARTITION BY o.ticker_id, as_of ORDER BY score DESC NULLS LAST, published_at DESC, news_id DESC) AS rn
+  FROM o JOIN art ON art.ticker_id = o.ticker_id AND art.day < o.oldest AND art.day >= o.as_of - 30),
+rec AS (SELECT d3.ticker_id, as_of, news_id, row_number() OVER (PARTITION BY d3.ticker_id, as_of ORDER BY published_at DESC, news_id DESC) AS rn FROM d3 JOIN art USING (ticker_id, day) WHERE d3.rn <= 3),
+full_bars AS (SELECT ticker_id, date, arg_max(struct_pack(v := rsi_14), (created_at, market_data_id)).v AS rsi_14 FROM market_data WHERE ticker_id IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
+fil AS (SELECT s.ticker_id, s.as_of, f.*, row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY f.filing_date DESC, f.fundamental_id DESC) AS rn FROM spine s JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date < s.as_of),
+rat AS (SELECT s.ticker_id, s.as_of, t.* EXCLUDE (ticker_id), row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY t.date DESC, t.recommendation_id DESC) AS rn
+  FROM spine s JOIN analyst_recommendations t ON t.ticker_id = s.ticker_id AND t.date < s.as_of AND t.date >= s.as_of - 90),
+feat AS ({FEATURES["a08_w13_sentiment"]}), mac AS (SELECT a.as_of, o.* FROM (SELECT as_of, CAST(k AS VARCHAR) AS series_id FROM (SELECT DISTINCT as_of FROM spine), range(1, 6) t(k)) a ASOF JOIN obs o ON o.series_id = a.series_id AND o.date < a.as_of)
+SELECT ticker_id, as_of, 'technical' AS section, CAST(rn AS INTEGER) AS pos, CAST(date AS VARCHAR) AS item, date AS day, NULL::VARCHAR AS text, close AS value, rsi_14 AS other FROM lb JOIN full_bars USING (ticker_id, date) WHERE rn <= 30
+UNION ALL SELECT rec.ticker_id, as_of, 'recent_articles', CAST(rn AS INTEGER), CAST(news_id AS VARCHAR), CAST(published_at AS DATE), concat_ws('|', headline, source, summary), sentiment_score, NULL FROM rec JOIN news USING (news_id)
+UNION ALL SELECT old.ticker_id, as_of, 'older_articles', CAST(rn AS INTEGER), CAST(news_id AS VARCHAR), CAST(published_at AS DATE), concat_ws('|', headline, source, summary), sentiment_score, NULL FROM old JOIN news USING (news_id) WHERE rn <= 75
+UNION ALL SELECT s.ticker_id, as_of, 'sentiment_features', CAST(row_number() OVER (PARTITION BY s.ticker_id, as_of ORDER BY date DESC) AS INTEGER), CAST(date AS VARCHAR), date, NULL, sentiment_7, article_count
+  FROM spine s JOIN feat ON feat.ticker_id = s.ticker_id AND feat.date < s.as_of AND feat.date >= s.as_of - 7
+UNION ALL SELECT s.ticker_id, s.as_of, 'macro', CAST(series_id AS INTEGER), series_id, date, NULL, value, NULL FROM spine s JOIN mac USING (as_of)
+UNION ALL SELECT tr.ticker_id, as_of, 'insider_transactions', CAST(rn AS INTEGER), CAST(transaction_id AS VARCHAR), transaction_date, concat_ws('|', owner_name, transaction_code), shares, transaction_price FROM tr JOIN insider_transactions USING (transaction_id) WHERE rn <= 20
+UNION ALL SELECT ticker_id, as_of, 'analyst_recommendations', CAST(rn AS INTEGER), CAST(recommendation_id AS VARCHAR), date, concat_ws('|', firm, rating, analyst_insights), target_price, NULL FROM rat WHERE rn <= 50
+UNION ALL SELECT ticker_id, as_of, 'fundamentals', 1, CAST(fundamental_id AS VARCHAR), filing_date, NULL, revenue, eps FROM fil WHERE rn = 1""",
     "d31_freshness": f"""WITH c AS ({_COVER}), a AS (SELECT ticker_id, kind, lim FROM tickers, (VALUES ('filings', 90), ('news', 30), ('bars', 7)) v(kind, lim)),
 x AS (SELECT a.*, CAST(date_diff('day', last_day, DATE '{AS_OF}') AS INTEGER) AS days FROM a LEFT JOIN c USING (ticker_id, kind)) SELECT ticker_id, kind, days, CASE WHEN days IS NULL THEN 'missing' WHEN days <= lim THEN 'fresh' ELSE 'stale' END AS state FROM x""",
     "d33_news_buckets": f"""WITH {SERIES}, {_SPINE}, {_DATED}, l AS (SELECT sp.ticker_id, sp.as_of, max(s.i) AS last FROM spine sp JOIN s ON s.ticker_id = sp.ticker_id AND s.date < sp.as_of GROUP BY 1, 2),
