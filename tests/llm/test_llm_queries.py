@@ -33,3 +33,14 @@ def test_every_example_has_its_group_and_split(spark):
     for r in grouped:
         by.setdefault(r["ticker_id"], set()).add(r["new_split"])
     assert all(len(v) == 1 for k, v in by.items() if k is not None)
+
+
+def test_coverage_of_every_record_and_on_average(spark):
+    rows = queries.p4_coverage(spark, FOLDER).collect()
+    assert len(rows) == spark.read.parquet(f"{FOLDER}/rlvr_examples.parquet").where("dataset_split <> 'train'").count()
+    assert all((r["coverage"] > 0) == (r["partners"] > 0) and r["coverage"] <= 1 for r in rows) and any(r["partners"] for r in rows)
+    by: dict = {}
+    for r in rows:
+        by.setdefault((r["dataset_split"], r["source"]), []).append(r["coverage"])
+    got = {(r["dataset_split"], r["source"]): r["mean_coverage"] for r in queries.p4_report(spark, FOLDER).collect()}
+    assert got == {k: pytest.approx(sum(v) / len(v), abs=1e-5) for k, v in by.items()}

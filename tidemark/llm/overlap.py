@@ -354,9 +354,10 @@ def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, tile
 
 
 def overlap_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
-    """(id_train, id_other, similarity): every pair of records, exact copies included."""
+    """(id_train, id_other, similarity, coverage_train, coverage_other): every pair of records, exact copies included."""
     train = members.where("train").select(F.col("id").alias("id_train"), F.col("class").alias("class_train"))
     other = members.where("not train").select(F.col("id").alias("id_other"), F.col("class").alias("class_other"))
-    same = train.join(other, F.col("class_train") == F.col("class_other")).select("id_train", "id_other", F.lit(1.0).alias("similarity"))
-    near = links.join(train, "class_train").join(other, "class_other").select("id_train", "id_other", "similarity")
+    measures = ["similarity", "coverage_train", "coverage_other"]
+    same = train.join(other, F.col("class_train") == F.col("class_other")).select("id_train", "id_other", *[F.lit(1.0).alias(m) for m in measures])
+    near = links.join(train, "class_train").join(other, "class_other").select("id_train", "id_other", *measures)
     return same.unionByName(near)

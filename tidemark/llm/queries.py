@@ -54,14 +54,24 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select(F.least("id_train", "id_other").alias("id_a"), F.greatest("id_train", "id_other").alias("id_b")).distinct()
 
 
-def p4_report(spark: SparkSession, folder: str) -> DataFrame:
-    """For each split and source outside training: its records, and how many of them are in training exactly or nearly."""
+def _covered(spark: SparkSession, folder: str) -> DataFrame:
+    """Each example outside training with its best similarity and coverage, NULL without a partner."""
     examples = table(spark, folder, "rlvr_examples").where("dataset_split <> 'train'").select(F.col("example_id").alias("id_other"), "dataset_split", "source")
-    best = overlap_pairs(*_overlaps(spark, folder)).groupBy("id_other").agg(F.max("similarity").alias("similarity"), F.count("*").alias("partners"))
-    seen = examples.join(best, "id_other", "left")
-    return seen.groupBy("dataset_split", "source").agg(
-        F.count("*").alias("records"), F.count(F.when(F.col("similarity") == 1, 1)).alias("exact"), F.count(F.when(F.col("similarity") < 1, 1)).alias("near"), F.round(F.count("similarity") / F.count("*"), 6).alias("share")
-    )
+    best = overlap_pairs(*_overlaps(spark, folder)).groupBy("id_other").agg(F.max("similarity").alias("similarity"), F.max("coverage_other").alias("coverage"), F.count("*").alias("partners"))
+    return examples.join(best, "id_other", "left")
+
+
+def p4_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """For each example outside training: how much of it a training record covers at most, 0 without a near one, and how many are near."""
+    return _covered(spark, folder).select(F.col("id_other").alias("example_id"), "dataset_split", "source", F.round(F.coalesce("coverage", F.lit(0.0)), 6).alias("coverage"), F.coalesce("partners", F.lit(0)).alias("partners"))
+
+
+def p4_report(spark: SparkSession, folder: str) -> DataFrame:
+    """For each split and source outside training: its records, how many of them are in training exactly or nearly, and their mean coverage."""
+    return _covered(spark, folder).groupBy("dataset_split", "source").agg(
+        F.count("*").alias("records"), F.count(F.when(F.col("similarity") == 1, 1)).alias("exact"), F.count(F.when(F.col("similarity") < 1, 1)).alias("near"), F.round(F.count("similarity") / F.count("*"), 6).alias("share"),
+        F.round(F.avg(F.coalesce("coverage", F.lit(0.0))), 6).alias("mean_coverage"),
+    )
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,7 +119,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return document_kinds(spread(table(spark, folder, "documents").select("doc_id", "text"))).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
 
 
-QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p7_found": p7_found, "p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p2_found": p2_found, "p2_entities": p2_entities, "p7_found": p7_found, "p10_found": p10_found, "p10_statistics": p10_statistics, "p4_found": p4_found, "p4_coverage": p4_coverage, "p4_report": p4_report, "p6_found": p6_found, "p6_splits": p6_splits, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLES: dict[str, str] = {}
 ORACLES["p6_found"] = r"""
 WITH t AS (SELECT ticker_id, regexp_replace(lower(regexp_replace(trim(company_name), '[\s,\-–(]*\b(class|cl|series|ser)\b[.\s]*[a-z0-9]{1,2}\b[\s.)]*$', '', 'i')), '[^a-z0-9]', '', 'g') AS nk,
