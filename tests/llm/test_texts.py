@@ -100,6 +100,16 @@ def test_defects(answer, kind):
     assert pairs.defect(answer, PROMPT) == kind
 
 
+@pytest.mark.parametrize("end", ["\n2.", "\n- ", "\n(b)", "\n<answer>Buy now.", "\n**Buy now."])
+def test_open_lists_and_markup_are_truncated(end):
+    assert pairs.defect(EN + end, PROMPT) == "truncated"
+
+
+@pytest.mark.parametrize("end", ["\n2. Sales grew.", "\n<answer>Buy now.</answer>", "\n**Buy** now.", "\n**Buy now.**", " See <ticker> too.", "<br>Buy."])
+def test_closed_lists_and_markup_are_whole(end):
+    assert pairs.defect(EN + end, PROMPT) is None
+
+
 def test_defects_without_prompt_and_column(spark):
     assert pairs.defect(DE, None) is None
     rows = [(1, PROMPT, None), (2, None, EN), (3, PROMPT, PROMPT), (3, PROMPT, PROMPT), (4, PROMPT, (EN + " ") * 400)]

@@ -143,11 +143,15 @@ def language_of(text: str) -> str | None:
     return lang if first >= 1.5 and first >= 1.2 * second + 0.5 else None
 
 
+UNCLOSED = {"br", "hr", "img", "input", "p", "li"}
+
+
 def is_truncated(text: str) -> bool:
-    """Whether the text breaks off: a fence, bracket or quotation stays open, or the last sentence doesn't end.
+    """Whether the text breaks off: a fence, bracket, quotation, emphasis or tag stays open, a list mark has no item, or the last sentence doesn't end.
 
-    One pass with a stack over fences, brackets and quotations; list marks like
-    `1)` and `a)` close nothing, and what is inside a fence isn't parsed.
+    One pass with a stack over fences, brackets, quotations, `**` and the tags
+    that begin a line; list marks like `1)` and `a)` close nothing, and what is
+    inside a fence isn't parsed.
     """
     t = visible(text).rstrip()
     stack: list[str] = []
@@ -169,6 +173,27 @@ def is_truncated(text: str) -> bool:
             if mark:
                 i += mark.end()
                 continue
+        tag = re.match(r"<(/?)([a-zA-Z]\w*)[^<>]*>", t[i : i + 200]) if c == "<" else None
+        if tag:
+            name = "<" + tag[2].lower()
+            if tag[1] and name in stack:
+                # what is open inside the tag stays open
+                stack.reverse()
+                stack.remove(name)
+                stack.reverse()
+            elif not tag[1] and not t[t.rfind("\n", 0, i) + 1 : i].strip() and not tag[0].endswith("/>") and name[1:] not in UNCLOSED:
+                stack.append(name)
+            i += tag.end()
+            continue
+        if t.startswith("**", i):
+            if "**" in stack and i and not t[i - 1].isspace():
+                stack.reverse()
+                stack.remove("**")
+                stack.reverse()
+            elif (not i or not t[i - 1].isalnum()) and i + 2 < len(t) and not t[i + 2].isspace() and t[i + 2] != "*":
+                stack.append("**")
+            i += 2
+            continue
         if c == '"':
             if stack and stack[-1] == '"':
                 stack.pop()
@@ -184,6 +209,8 @@ def is_truncated(text: str) -> bool:
         return True
     if t.endswith("```"):
         return False
+    if re.search(r"\n\s*(?:[-*•]|\(?(?:\d{1,2}|[a-z])[.)])$", t):
+        return True
     body = re.sub(r"(?:</\w+>\s*|[\"'”’»)\]}*_`\s])+$", "", t)
     if not body:
         return False
