@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 import zipfile
@@ -44,15 +45,46 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: written tables still there, by session
+_WRITTEN: dict[str, SparkSession] = {}
+
+
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     """Write `df` to the shared folder once and return it read back.
 
-    A lost executor costs nothing but a re-read: the files are outside it.
+    A lost executor costs nothing but a re-read: the files are outside it. The
+    table stays until `discard`, or until the driver ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_discard_all)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `cut_lineage` that no frame reads any more."""
+    for df in tables:
+        path = df._tidemark_path
+        _delete(_WRITTEN.pop(path), path)
+
+
+def _discard_all() -> None:
+    for path, spark in list(_WRITTEN.items()):
+        if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+            break
+        _delete(spark, path)
+    _WRITTEN.clear()
 
 
 def ship_package(spark: SparkSession) -> None:
