@@ -203,29 +203,61 @@ def test_repeated_rows_and_long_gaps_are_aligned(spark):
     assert got == {0: pytest.approx(509 / 510), 1: pytest.approx(375 / 400)}
 
 
-def test_scattered_edits_are_found(spark):
-    r = random.Random(6)
+@pytest.mark.parametrize("n", [30, 80, 300])
+def test_scattered_edits_are_found(spark, n):
+    r = random.Random(n)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9)))
-    texts = []
-    for n, rate in [(300, 0.1), (300, 0.15), (300, 0.19), (30, 0.07), (30, 0.15)] * 4:
-        a = [word() for _ in range(n)]
-        b = [*a]
-        for i in r.sample(range(n), int(n * rate)):
-            b[i] = word()
-        texts.append((" ".join(a), " ".join(b)))
+    texts, rates = [], []
+    for percent in (2, 4, 6, 8, 10, 12):
+        for _ in range(40):
+            a = [word() for _ in range(n)]
+            b = [*a]
+            for i in sorted(r.sample(range(n), round(n * percent / 100)), reverse=True):
+                b[i : i + 1] = r.choice([[word()], [word()], [word()], [], [b[i], word()]])
+            if n > 50 and r.random() < 0.3:
+                b = b[n // 2 :] + b[: n // 2]
+            texts.append((" ".join(a), " ".join(b)))
+            rates.append(percent)
     far = [word() for _ in range(100)]
     texts.append((" ".join(far), " ".join(w if i % 4 else word() for i, w in enumerate(far))))
-    assert set(_near(spark, *texts)) == set(range(20))
-
-
-def test_like_bags_against_brute_force():
-    r = random.Random(8)
-    left, right = ([np.array([r.randrange(25) ** 2 for _ in range(r.randrange(1, 60))]) for _ in range(n)] for n in (70, 50))
-    common = lambda a, b: (Counter(a.tolist()) & Counter(b.tolist())).total()
-    want = {(i, j) for i, a in enumerate(left) for j, b in enumerate(right) if 2 * common(a, b) >= 0.5 * (len(a) + len(b))}
-    got = list(overlap.like_bags(left, right, 0.5, 16, 7))
-    assert set(got) == want
-    assert len(got) == len(want) > 0
+    got = _near(spark, *texts)
+    assert 240 not in got
+    for percent in (2, 4, 6, 8, 10, 12):
+        mine = [k for k, p in enumerate(rates) if p == percent]
+        assert sum(k in got for k in mine) >= 0.95 * len(mine)
+
+
+def test_links_are_all_that_share_enough(spark):
+    """Against all pairs, among texts with a third in one layout and ever more edits."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 7)))
+    layout, texts = [word() for _ in range(60)], []
+    for k in range(24):
+        own = [word() for _ in range(r.choice([8, 25, 90, 180]))]
+        a = layout + own if k % 3 == 0 else own
+        for _ in range(5):
+            texts.append(" ".join(a))
+            a = [word() if r.random() < 0.05 else w for w in a]
+    rows = [(i, i % 2 == 0, t) for i, t in enumerate(texts)]
+    want = set()
+    for i, tr, s in rows:
+        for j, ot, t in rows:
+            a, b = overlap.words_of(s), overlap.words_of(t)
+            if tr and not ot and a != b and overlap.shares_fingerprints("".join(a), "".join(b)) and 2 * overlap.aligned_words(a, b) >= 0.8 * (len(a) + len(b)):
+                want.add((i, j))
+    links, members = overlap.cross_split_overlaps(spark.createDataFrame(rows, "id long, train boolean, text string").repartition(5))
+    same = {(x["id"], y["id"]) for x in members.collect() for y in members.collect() if x["train"] and not y["train"] and x["class"] == y["class"]}
+    got = {(x["id_train"], x["id_other"]) for x in overlap.overlap_pairs(links, members).collect()}
+    assert got == want | same
+    assert len(want) > 50
+
+
+def test_frequencies_in_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "FAN_IN", 2)
+    prints = spark.createDataFrame([(k % 2 == 0, k % 3 == 0, [1 << 60, k << 50]) for k in range(40)], "in_train boolean, in_other boolean, tokens array<long>").repartition(7)
+    rank, both = overlap.frequencies(prints)
+    cell = int(overlap._cells(np.array([1 << 60], np.uint64))[0])
+    assert rank[cell] == rank.max() == int(4 * np.log2(1 + 20 + 14)) and both[cell]
 
 
 def test_common_subsequence_against_table():

@@ -1,9 +1,9 @@
 """Same or near-same records across splits.
 
-Texts of like length meet in tiles. A pair whose words, taken without order,
-can't reach the similarity is dropped there; what is left is aligned word by
-word, moved passages by chained seeds, and a pair counts if enough of both
-texts is covered.
+Winnowing fingerprints: the rolling-hash minima of each text are joined across
+the splits, the rarest first and as many as a near text must share one of. Two
+texts that have enough of them in common are aligned word by word from chains
+of seeds, and a pair counts if enough of both texts is covered.
 """
 
 from __future__ import annotations
@@ -12,17 +12,36 @@ import bisect
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, discard
 
 GRAM, WINDOW, SEED = 40, 20, 6
-CHUNK, TILE = 256, 4096
+#: cells of the table of frequencies, its pieces, and how many partial tables one task adds up
+CELLS, PIECES, FAN_IN = 1 << 21, 32, 32
+
+
+class Scale(NamedTuple):
+    """How texts of `least` to `most` letters are fingerprinted, and the share of them two near texts must have in common."""
+
+    gram: int
+    window: int
+    share: float
+    least: int
+    most: float
+
+
+#: neighbouring scales overlap by half, so two texts whose lengths allow the similarity always have one in common
+SCALES = (Scale(GRAM, WINDOW, 0.15, 500, math.inf), Scale(20, 6, 0.2, 100, 750), Scale(8, 2, 0.15, 1, 150))
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 UNBASE = pow(BASE, -1, 1 << 64)
@@ -38,36 +57,56 @@ def canonical(text: str) -> str:
     return "".join(words_of(text))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+@lru_cache(maxsize=2)
+def _powers_to(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[0] = 1
     with np.errstate(over="ignore"):
         return np.multiply.accumulate(out)
 
 
-def fingerprints(text: str, gram: int = GRAM, window: int = WINDOW) -> list[tuple[int, int]]:
-    """(position, hash) of the winnowed grams of a canonical text: the rightmost least hash of each window.
+def _powers(base: int, n: int) -> np.ndarray:
+    return _powers_to(base, max(4096, 1 << (n - 1).bit_length()))[:n]
 
-    Any stretch of gram + window - 1 letters that two texts share gives both a
-    common fingerprint. A text shorter than a gram has one fingerprint of
-    itself, an empty one has none.
-    """
+
+def _winnowed(text: str, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the fingerprints of a canonical text that isn't empty."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
     n = len(codes)
-    if not n:
-        return []
     gram = min(gram, n)
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((codes + np.uint64(1)) * _powers(BASE, n), dtype=np.uint64)])
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((codes + np.uint64(1)) * _powers(BASE, n), out=sums[1:])
         h = (sums[gram:] - sums[:-gram]) * _powers(UNBASE, n)[: n - gram + 1]
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(29)
     window = min(window, len(h))
-    view = np.lib.stride_tricks.sliding_window_view(h[::-1], window)
-    least = (len(h) - 1) - (np.argmin(view, axis=1) + np.arange(len(view)))
-    picked = np.unique(least)
-    return [(int(p), int(v)) for p, v in zip(picked, h[picked].astype(np.int64), strict=True)]
+    low, span = h, 1
+    while span < window:
+        step = min(span, window - span)
+        low, span = np.minimum(low[:-step], low[step:]), span + step
+    # only where the minimum changes, or comes again at the right end, is another place picked
+    new = low == h[window - 1 :]
+    new[0] = True
+    new[1:] |= low[1:] != low[:-1]
+    at = np.flatnonzero(new)
+    rows = h[at[:, None] + np.arange(window - 1, -1, -1)]
+    picked = at + window - 1 - np.argmin(rows, axis=1)
+    return picked, h[picked]
+
+
+def fingerprints(text: str, gram: int = GRAM, window: int = WINDOW) -> list[tuple[int, int]]:
+    """(position, hash) of the winnowed grams of a canonical text: the rightmost least hash of each window.
+
+    Any stretch of gram + window - 1 letters that two texts share gives both a
+    common fingerprint. A text shorter than a gram has one fingerprint of
+    itself, an empty one has none.
+    """
+    if not text:
+        return []
+    places, hashes = _winnowed(text, gram, window)
+    return list(zip(places.tolist(), hashes.astype(np.int64).tolist(), strict=True))
 
 
 def chain(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -210,146 +249,173 @@ def aligned_words(a: Sequence, b: Sequence) -> int:
     return max(common_length(a, b), moved_words(a, b))
 
 
-def _numbered(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, token) for all words; a token is a word and how often it stood in the text before."""
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    word = np.concatenate(texts)
-    order = np.lexsort((word, doc))
-    doc, word = doc[order], word[order]
-    first = np.ones(len(doc), bool)
-    first[1:] = (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])
-    place = np.arange(len(doc))
+def _tokens(text: str, scale: Scale) -> np.ndarray:
+    """The fingerprints of a canonical text as a set, sorted: the k-th time one stands in a text is a token of its own."""
+    h = np.sort(_winnowed(text, scale.gram, scale.window)[1])
+    place = np.arange(len(h))
+    first = np.concatenate([[True], h[1:] != h[:-1]])
     nth = place - np.maximum.accumulate(np.where(first, place, 0))
     with np.errstate(over="ignore"):
-        return doc, word.astype(np.uint64) + nth.astype(np.uint64) * np.uint64(BASE)
+        h = h + nth.astype(np.uint64) * np.uint64(BASE) + np.uint64(scale.gram) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+    return np.sort(h)
+
+
+def scales_of(text: str) -> list[int]:
+    return [k for k, s in enumerate(SCALES) if s.least <= len(text) <= s.most]
+
+
+def needed(scale: Scale, size: int) -> tuple[int, int]:
+    """Fingerprints a near text must share, and how many of these the join looks for."""
+    least = max(1, math.ceil(scale.share * size - 1e-9))
+    return least, -(-least // 3)
+
 
+def shares_fingerprints(a: str, b: str) -> bool:
+    """Whether two canonical texts have the wanted share of the longer list of fingerprints in common, on a scale of both."""
+    for k in set(scales_of(a)) & set(scales_of(b)):
+        x, y = _tokens(a, SCALES[k]), _tokens(b, SCALES[k])
+        if len(np.intersect1d(x, y, assume_unique=True)) >= needed(SCALES[k], max(len(x), len(y)))[0]:
+            return True
+    return False
 
-def like_bags(left: list[np.ndarray], right: list[np.ndarray], least_similarity: float, chunk: int = 512, columns: int = 2048) -> Iterator[tuple[int, int]]:
-    """All pairs whose words, taken without order, are alike enough: no alignment can match more.
 
-    Frequent tokens are counted by matrix products, rare ones by their lists.
+def _cells(tokens: np.ndarray) -> np.ndarray:
+    return (tokens.astype(np.uint64) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+
+
+def frequencies(prints: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell of the fingerprints' hashes: a byte that grows with its frequency, and whether both splits are in it.
+
+    The table has CELLS cells whatever the size of the data; it is counted in
+    pieces, and pieces are added up FAN_IN at a time.
     """
-    (doc_a, tok_a), (doc_b, tok_b) = _numbered(left), _numbered(right)
-    both = np.intersect1d(tok_a, tok_b)
-    sides = []
-    for doc, tok in ((doc_a, tok_a), (doc_b, tok_b)):
-        at = np.minimum(np.searchsorted(both, tok), max(len(both) - 1, 0))
-        keep = both[at] == tok if len(both) else np.zeros(len(tok), bool)
-        sides.append((doc[keep], at[keep]))
-    (doc_a, tok_a), (doc_b, tok_b) = sides
-    hits = np.bincount(tok_a, minlength=len(both)) * np.bincount(tok_b, minlength=len(both))
-    frequent = hits * 200 > len(left) * len(right)
-    column = np.cumsum(frequent) - 1
-    n_frequent = int(frequent.sum())
-    len_a, len_b = np.array([len(t) for t in left]), np.array([len(t) for t in right])
-    # the rare tokens of the right side by token
-    rare = ~frequent[tok_b]
-    order = np.argsort(tok_b[rare], kind="stable")
-    rare_doc, starts = doc_b[rare][order], np.searchsorted(tok_b[rare][order], np.arange(len(both) + 1))
-    for x0 in range(0, len(left), chunk):
-        x1 = min(x0 + chunk, len(left))
-        mine = (doc_a >= x0) & (doc_a < x1)
-        rows, toks = doc_a[mine] - x0, tok_a[mine]
-        count = np.zeros((x1 - x0, len(right)), np.float32)
-        for c0 in range(0, n_frequent, columns):
-            width = min(columns, n_frequent - c0)
-            one, two = np.zeros((x1 - x0, width), np.float32), np.zeros((len(right), width), np.float32)
-            for m, d, t in ((one, rows, toks), (two, doc_b, tok_b)):
-                inside = frequent[t] & (column[t] >= c0) & (column[t] < c0 + width)
-                m[d[inside], column[t[inside]] - c0] = 1
-            count += one @ two.T
-        few = ~frequent[toks]
-        r, t = rows[few], toks[few]
-        n = starts[t + 1] - starts[t]
-        if n.sum():
-            at = np.repeat(starts[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            count += np.bincount(np.repeat(r, n) * len(right) + rare_doc[at], minlength=count.size).reshape(count.shape)
-        found = 2 * count >= least_similarity * (len_a[x0:x1, None] + len_b[None, :]) - 1e-3
-        for i, j in np.argwhere(found).tolist():
-            yield x0 + i, j
-
-
-def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8, tile: int = TILE) -> DataFrame:
+    width = CELLS // PIECES
+    schema = "piece int, part int, counts binary"
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros((2, CELLS), np.int32)
+        for f in frames:
+            for side, flag in enumerate(("in_train", "in_other")):
+                mine = [t for t, x in zip(f["tokens"], f[flag], strict=True) if x]
+                if mine:
+                    cells, n = np.unique(_cells(np.concatenate(mine).view(np.uint64)), return_counts=True)
+                    seen[side, cells] += n.astype(np.int32)
+        part = TaskContext.get().partitionId()
+        for k in range(PIECES):
+            piece = seen[:, k * width : (k + 1) * width]
+            if piece.any():
+                yield pd.DataFrame({"piece": [k], "part": [part], "counts": [zlib.compress(piece.astype(np.int64).tobytes(), 1)]})
+
+    def add(f: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in f["counts"])
+        return pd.DataFrame({"piece": [f["piece"].iloc[0]], "part": [f["part"].iloc[0] // FAN_IN], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+    tables = prints.mapInPandas(count, schema)
+    parts = max(2, prints.rdd.getNumPartitions())
+    while parts > 1:
+        tables = tables.groupBy("piece", F.expr(f"part div {FAN_IN}")).applyInPandas(add, schema)
+        parts = -(-parts // FAN_IN)
+    counts = np.zeros((2, CELLS), np.int64)
+    for r in tables.collect():  # PIECES rows
+        counts[:, r["piece"] * width : (r["piece"] + 1) * width] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64).reshape(2, width)
+    rank = np.minimum(255, np.floor(4 * np.log2(1.0 + counts.sum(axis=0)))).astype(np.uint8)
+    return rank, (counts > 0).all(axis=0)
+
+
+def cross_split_overlaps(records: DataFrame, least_similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Pairs of different texts, one in the training split and one outside it, that are light edits of each other.
 
-    records: (id LONG, train BOOLEAN, text STRING). A text's similarity to
-    another is twice the words aligned over the words of both; a pair needs
-    `least_similarity`. Aligned are the longest common subsequence of words or,
-    where that is more, passages that changed places (those with a run of SEED
-    words in common, and what is alike around it). Every pair whose lengths and
-    whose words without order allow the similarity is aligned, so no candidate
-    is lost. Texts meet in tiles of about `tile` by `tile` texts whose lengths
-    are within the ratio the similarity allows; the work is the product of the
-    two splits' texts of like length.
+    records: (id LONG, train BOOLEAN, text STRING). A pair must have a share
+    of the longer one's fingerprints in common (SCALES) and be alike: twice
+    the words aligned over the words of both is at least `least_similarity`.
+    Aligned are the longest common subsequence of words or, where that is more,
+    passages that changed places (those with a run of SEED words in common, and
+    what is alike around it). Every pair for which both hold is found.
+
+    All texts' fingerprints have one order, rare cells of a table of
+    frequencies first. Of a text with n of them, t of which a near text must
+    share, only the first n - t + k are joined: any near text has at least k of
+    these among its own, so a pair with fewer is no candidate, and what is in
+    every text (layouts) isn't joined. Texts of which less than t stand in the
+    other split at all aren't joined either.
 
     Result: (class_train, class_other, similarity, coverage_train,
     coverage_other) between classes of exactly the same canonical text, and
     (id, train, class) for all records: a frame each. A class is named by its
     least id. Null texts and texts without a letter or digit are in no class.
-    Very long texts are processed whole.
+    Very long texts are processed whole. No rows give no rows.
     """
 
-    @F.pandas_udf("string")
-    def canon(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: canonical(t) if t else "")
-
-    known = records.where("text is not null").withColumn("canon", canon("text"))
-    known = known.where("canon <> ''").select("id", "train", F.sha2("canon", 256).alias("sha"), "text")
-    known = cut_lineage(known, "records")
-    reps = known.groupBy("sha").agg(F.min("id").alias("class"), F.max("train").alias("in_train"), F.max(~F.col("train")).alias("in_other"), F.min_by("text", "id").alias("text"))
-    members = cut_lineage(known.select("id", "train", "sha").join(reps.select("sha", "class"), "sha").select("id", "train", "class"), "members")
+    @F.pandas_udf("binary")
+    def digest(s: pd.Series) -> pd.Series:
+        found = (canonical(t) if t else "" for t in s)
+        return pd.Series([hashlib.blake2b(c.encode("utf-8", "surrogatepass"), digest_size=16).digest() if c else None for c in found], index=s.index, dtype=object)
 
-    # lengths further apart than this can't be alike; a band is a little wider, so only neighbouring bands meet
-    ratio = (2 - least_similarity) / least_similarity * 1.05
+    records = records.select("id", "train", "text")
+    known = cut_lineage(records.where("text is not null and train is not null").select("id", "train", digest("text").alias("digest")).where("digest is not null"), "records")
+    reps = known.groupBy("digest").agg(F.min("id").alias("class"), F.max("train").alias("in_train"), F.max(~F.col("train")).alias("in_other"))
+    members = cut_lineage(known.join(reps.select("digest", "class"), "digest").select("id", "train", "class"), "members")
+    reps = cut_lineage(reps.drop("digest"), "classes")
+    discard(known)
 
-    def sequences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers: dict[str, int] = {}
+    def fingerprint(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for c, tr, ot, text in zip(f["class"], f["in_train"], f["in_other"], f["text"], strict=True):
+                own = canonical(text)
+                rows += [(c, tr, ot, k, _tokens(own, SCALES[k]).view(np.int64)) for k in scales_of(own)]
+            yield pd.DataFrame(rows, columns=["class", "in_train", "in_other", "scale", "tokens"])
+
+    texts = records.select(F.col("id").alias("class"), "text").join(reps, "class")
+    prints = cut_lineage(texts.mapInPandas(fingerprint, "class long, in_train boolean, in_other boolean, scale int, tokens array<long>"), "prints")
+    table = prints.sparkSession.sparkContext.broadcast(frequencies(prints))  # two bytes a cell
+
+    def select(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rank, both = table.value
+        for f in frames:
+            rows = []
+            for c, tr, ot, k, tokens in zip(f["class"], f["in_train"], f["in_other"], f["scale"], f["tokens"], strict=True):
+                own = tokens.view(np.uint64)
+                cells = _cells(own)
+                met = both[cells]
+                least, wanted = needed(SCALES[k], len(own))
+                if met.sum() < least:
+                    continue
+                first = np.lexsort((own, rank[cells]))[: len(own) - least + wanted]
+                rows.append((c, tr, ot, k, wanted, tokens[first[met[first]]]))
+            yield pd.DataFrame(rows, columns=["class", "in_train", "in_other", "scale", "wanted", "tokens"])
+
+    joined = prints.mapInPandas(select, "class long, in_train boolean, in_other boolean, scale int, wanted int, tokens array<long>")
+    postings = joined.select("class", "in_train", "in_other", "scale", "wanted", F.explode("tokens").alias("token"))
+    left = postings.where("in_train").select("token", "scale", F.col("class").alias("class_train"), F.col("wanted").alias("wanted_train"))
+    right = postings.where("in_other").select("token", F.col("class").alias("class_other"), F.col("wanted").alias("wanted_other"))
+    pairs = left.join(right, "token").where("class_train <> class_other").groupBy("class_train", "class_other", "scale")
+    pairs = pairs.agg(F.count("*").alias("shared"), F.max(F.greatest("wanted_train", "wanted_other")).alias("wanted")).where("shared >= wanted").select("class_train", "class_other").distinct()
+    pairs = cut_lineage(pairs, "pairs")
+    discard(prints)
+
+    asked = pairs.select(F.col("class_train").alias("class")).union(pairs.select("class_other")).distinct()
+    texts = records.select(F.col("id").alias("class"), "text").join(asked, "class")
+    both = pairs.join(texts.select(F.col("class").alias("class_train"), F.col("text").alias("text_train")), "class_train").join(texts.select(F.col("class").alias("class_other"), F.col("text").alias("text_other")), "class_other")
+
+    def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for k in range(0, len(f), CHUNK):
-                part = f.iloc[k : k + CHUNK].copy()
-                found = []
-                for t in part["text"]:
-                    words = words_of(t)
-                    for w in set(words) - numbers.keys():
-                        numbers[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                    found.append(np.array([numbers[w] for w in words], dtype=np.int64))
-                    if len(numbers) > 1_000_000:
-                        numbers.clear()
-                part["words"] = found
-                part["band"] = [int(math.log(len(x)) / math.log(ratio)) for x in found]
-                yield part[["class", "in_train", "in_other", "words", "band"]]
-
-    texts = cut_lineage(reps.select("class", "in_train", "in_other", "text").mapInPandas(sequences, "class long, in_train boolean, in_other boolean, words array<long>, band int"), "sequences")
-    sizes = texts.groupBy("band").agg(F.count_if("in_train").alias("left"), F.count_if("in_other").alias("right")).collect()
-    tiles = {side: {r["band"]: -(-r[side] // tile) for r in sizes if r[side]} for side in ("left", "right")}
-
-    def placed(mine: str, other: str, flag: str) -> DataFrame:
-        """The texts of one side, once for each tile of the other side's bands they meet."""
-        n = lambda side, band: F.coalesce(F.create_map(*[F.lit(x) for kv in [(-9, 0), *tiles[side].items()] for x in kv])[band], F.lit(0))
-        x = texts.where(flag).withColumn("at", F.pmod(F.xxhash64("class"), n(mine, F.col("band"))).cast("int"))
-        x = x.withColumn("other_band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)]))).withColumn("n", n(other, F.col("other_band"))).where("n > 0")
-        x = x.withColumn("other_at", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        ends = {"left": ("band", "at", "other_band", "other_at"), "right": ("other_band", "other_at", "band", "at")}[mine]
-        return x.select(F.concat_ws(",", *[F.col(c).cast("string") for c in ends]).alias("tile"), F.lit(mine == "left").alias("train"), "class", "words")
-
-    def meet(f: pd.DataFrame) -> pd.DataFrame:
-        a, b = f[f["train"]], f[~f["train"]]
-        rows = []
-        if len(a) and len(b):
-            ids_a, ids_b, words_a, words_b = a["class"].tolist(), b["class"].tolist(), a["words"].tolist(), b["words"].tolist()
-            for i, j in like_bags(words_a, words_b, least_similarity):
-                if ids_a[i] == ids_b[j]:
+            rows = []
+            for c, d, s, t in zip(f["class_train"], f["class_other"], f["text_train"], f["text_other"], strict=True):
+                one, two = words_of(s), words_of(t)
+                # no alignment matches more than the shorter text
+                if 2 * min(len(one), len(two)) < least_similarity * (len(one) + len(two)) or not shares_fingerprints("".join(one), "".join(two)):
                     continue
-                one, two = words_a[i].tolist(), words_b[j].tolist()
                 m = aligned_words(one, two)
                 similarity = 2 * m / (len(one) + len(two))
                 if similarity >= least_similarity:
-                    rows.append((ids_a[i], ids_b[j], similarity, m / len(one), m / len(two)))
-        return pd.DataFrame(rows, columns=["class_train", "class_other", "similarity", "coverage_train", "coverage_other"])
+                    rows.append((c, d, similarity, m / len(one), m / len(two)))
+            yield pd.DataFrame(rows, columns=["class_train", "class_other", "similarity", "coverage_train", "coverage_other"])
 
-    pairs_of_tiles = sum(n * tiles["right"].get(band + d, 0) for band, n in tiles["left"].items() for d in (-1, 0, 1))
-    both = placed("left", "right", "in_train").unionByName(placed("right", "left", "in_other")).repartition(max(1, min(4 * pairs_of_tiles, 4096)), "tile")
-    links = both.groupBy("tile").applyInPandas(meet, "class_train long, class_other long, similarity double, coverage_train double, coverage_other double")
+    links = both.select("class_train", "class_other", "text_train", "text_other").mapInPandas(align, "class_train long, class_other long, similarity double, coverage_train double, coverage_other double")
     return cut_lineage(links, "links"), members
 
 
