@@ -302,6 +302,47 @@ def test_spellings(spark):
     assert names.link_spellings(spark.createDataFrame([], "scope string, name string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("groups", "scope"),
+    [
+        # two generations are two people; the plain name goes with the more frequent
+        ([["John T. Smithers Jr.", "Smithers, John T, Jr", "John T. Smithers", "John T. Smithrs Jr"], ["John T. Smithers Sr.", "SMITHERS JOHN T SR"]], "owner:1"),
+        ([["Edgar Valmont III"], ["Edgar Valmont II", "Valmont, Edgar II"]], "owner:1"),
+        ([["Edgar Valmont Jr.", "Edgar Valmont", "Valmnt, Edgar"]], "owner:1"),
+        # any number of words, of missing and of joined ones
+        ([["Alpha Brenton Corvane Dellamar Estwick Farrowby Gallimore Hartwin Partners", "Hartwin Gallimore Farrowby Estwick Dellamar Corvane Brenton Alpha Partners", "Alpha Brentn Corvane Dellamar Estwick Farrowby Gallimore Hartwin Ptrs"]], "firm:0"),
+        ([["John Ronald Reuel Talkendorf", "J. R. R. Talkendorf"], ["Karla Ronald Talkendorf"]], "owner:1"),
+        ([["Anna Van Den Berghem", "Anna Vandenberghem"], ["Anna Bergholm"]], "owner:1"),
+        # two slips of the one proper word; letters of names without a designator
+        ([["Fensavall Financial Group", "Gensavakl Financial Group"], ["Fensavall Trust"]], "firm:0"),
+        ([["Marlowe Standish", "MS"], ["Quentin Barrowby Trust"]], "firm:0"),
+    ],
+)
+def test_who_is_one_and_who_is_not(spark, groups, scope):
+    rows = [(scope, n) for g in groups for i, n in enumerate(g) for _ in range(9 if i == 0 else 1 + (len(g) - i))]
+    out = names.link_spellings(spark.createDataFrame(rows, "scope string, name string")).collect()
+    got: dict = {}
+    for r in out:
+        got.setdefault(r["entity"], set()).add(r["name"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups))
+
+
+def test_keys_meet_what_the_channel_reads():
+    """Every pair the channel accepts shares a key, but for two slips in one word and one at another's beginning."""
+    r = random.Random(2)
+    base = ["Nicholas F. Ullenden", "Gretel Solhart", "Marlow Tenby Securities", "Orwick & Company", "William Dorn Estermann"]
+    for _ in range(400):
+        meant = r.choice(base)
+        typed = list(meant)
+        for _ in range(r.choice([1, 1, 2])):
+            i = r.randrange(1, len(typed))
+            if typed[i].isalpha() and typed[i - 1].isalpha():
+                typed[i : i + 1] = r.choice([[], [typed[i]] * 2])
+        a, b = names.Name("".join(typed)), names.Name(meant)
+        if names.channel(a, b) >= names.LIMIT:
+            assert {k for k, _ in names.block_keys(a)} & {k for k, _ in names.block_keys(b)}, (typed, meant)
+
+
 def test_typing_errors():
     assert names.typing("tets", "test") == names.TYPO
     assert names.typing("teest", "test") == names.TYPO

@@ -14,10 +14,10 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import permutations
+from itertools import combinations, permutations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -33,7 +33,9 @@ DESIGNATORS = {
     "analytics": "", "strategies": "strat", "estate": "est", "family": "fam", "institute": "inst", "corporation": "corp",
 }
 # Parts that say nothing about who is named.
-IGNORED = set("the and of mr mrs ms miss dr prof hon sir jr sr ii iii iv md phd esq cpa llc llp lp ltd plc inc us usa uk gmbh ag sa nv".split())
+IGNORED = set("the and of mr mrs ms miss dr prof hon sir md phd esq cpa llc llp lp ltd plc inc us usa uk gmbh ag sa nv".split())
+# Which of the bearers of one name is meant.
+GENERATIONS = set("jr sr ii iii iv".split())
 # Short forms of given names.
 NICKNAMES = {
     "abigail": "abby abbie gail", "alexander": "alex al sandy alec", "alexandra": "alex sandra", "andrew": "andy drew", "anthony": "tony ant", "barbara": "barb barbie",
@@ -126,9 +128,9 @@ def unhyphened(part: str) -> list[str]:
 
 
 class Name:
-    """A typed name in parts: proper words, designators, initials; or an acronym."""
+    """A typed name in parts: proper words, designators, initials, the generation; or an acronym."""
 
-    __slots__ = ("acronym", "initials", "proper", "titles")
+    __slots__ = ("acronym", "generation", "initials", "proper", "titles")
 
     def __init__(self, text: str) -> None:
         plain = fold(text)
@@ -137,7 +139,8 @@ class Name:
         plain = re.sub(r"(?<=[a-z]{2})(?=[A-Z][a-z])", " ", plain)
         plain = re.sub(r"\b(?:L\.L\.C|L\.P|P\.L\.C|S\.A|N\.V)\.?\s*$", " ", plain, flags=re.IGNORECASE)
         words = [w for part in re.findall(r"[a-z0-9]+(?:-[a-z0-9]+)*", re.sub(r"['’]", "", plain.lower())) for w in unhyphened(part)]
-        words = [w for w in words if w not in IGNORED]
+        self.generation = next((w for w in words[1:] if w in GENERATIONS), "")
+        words = [w for w in words if w not in IGNORED and w not in GENERATIONS]
         found = [(w, designator(w)) for w in words]
         # a person's name has no designator but by accident of a single letter
         self.titles = tuple(sorted(d for _, d in found if d)) if any(d and len(w) > 1 for w, d in found) else ()
@@ -178,7 +181,9 @@ def channel(typed: Name, meant: Name) -> float:
         return -math.inf
     if bool(typed.titles) != bool(meant.titles) and (typed.initials or meant.initials):
         return -math.inf
-    person = not typed.titles and not meant.titles and len(typed.proper) + len(typed.initials) <= 5
+    if typed.generation and meant.generation and typed.generation != meant.generation:
+        return -math.inf
+    person = not typed.titles and not meant.titles
     score = 0.0
     if typed.titles != meant.titles:
         fewer, more = sorted((list(typed.titles), list(meant.titles)), key=len)
@@ -188,36 +193,69 @@ def channel(typed: Name, meant: Name) -> float:
                 return -math.inf
             left.remove(t)
         score += DROPPED * len(left) ** 0.5
-    a, b = list(typed.proper), list(meant.proper)
+    a, b, joins = rejoined(list(typed.proper), list(meant.proper))
     if not a or not b:
         return -math.inf
-    joined = "".join(a) == "".join(b) or any("".join(p) == "".join(b) for p in permutations(a) if len(a) <= 3) or any("".join(p) == "".join(a) for p in permutations(b) if len(b) <= 3)
-    if joined:
-        return score + (SHORTENED if a != b else 0.0) + _initials(typed, meant, [], [])
-    short, long = (a, b) if len(a) <= len(b) else (b, a)
-    if len(long) - len(short) > 1 or len(long) > 6:
-        return -math.inf
+    if "".join(a) == "".join(b):
+        return score + (SHORTENED if a != b or joins else 0.0) + _initials(typed, meant, [], [])
     best = -math.inf
-    for order in permutations(range(len(long)), len(short)):
-        total = 0.0
-        for k, at in enumerate(order):
-            x, y = (a[k], b[at]) if short is a else (a[at], b[k])
-            total += word_given(x, y, person)
-            if total < LIMIT:
-                break
-        if total < LIMIT or total <= best:
-            continue
-        spare = [long[x] for x in range(len(long)) if x not in order]
-        if spare:
-            # the word the other one lacks may be there as an initial
-            initials = typed.initials if short is a else meant.initials
-            if not person or not any(spare[0][0] == i or any(f[0] == i for f in FULL_NAMES.get(spare[0], ())) for i in initials) or len(short) < 1:
-                continue
-            total += INITIAL + _initials(typed, meant, spare if short is a else [], spare if short is b else [])
+    for total, typed_lacks, meant_lacks in pairings(a, b, person):
+        if typed_lacks or meant_lacks:
+            # a word the other one lacks may be there as an initial
+            left = list(typed.initials if typed_lacks else meant.initials)
+            for w in typed_lacks or meant_lacks:
+                hit = next((i for i in left if i in first_letters(w)), None)
+                if hit is None or not person:
+                    break
+                left.remove(hit)
+                total += INITIAL
+            else:
+                best = max(best, total + _initials(typed, meant, typed_lacks, meant_lacks))
         else:
-            total += _initials(typed, meant, [], [])
-        best = max(best, total)
-    return score + best
+            best = max(best, total + _initials(typed, meant, [], []))
+    return score + best + SHORTENED * joins
+
+
+def first_letters(word: str) -> set[str]:
+    return {w[0] for w in (word, *FULL_NAMES.get(word, ()))}
+
+
+def rejoined(a: list[str], b: list[str]) -> tuple[list[str], list[str], int]:
+    """Both names' words, those of the one joined that stand as one word in the other, and how many were."""
+    if sorted(a) == sorted(b) or len(a) == len(b):
+        return a, b, 0
+    long, short = (list(a), b) if len(a) > len(b) else (list(b), a)
+    joins = 0
+    for whole in short:
+        if whole in long:
+            continue
+        hit = next((p for n in (2, 3) for p in permutations(range(len(long)), n) if "".join(long[i] for i in p) == whole), None)
+        if hit:
+            long = [w for i, w in enumerate(long) if i not in hit] + [whole]
+            joins += 1
+    long.sort()
+    return (long, b, joins) if len(a) > len(b) else (a, long, joins)
+
+
+def pairings(a: list[str], b: list[str], person: bool) -> Iterator[tuple[float, list[str], list[str]]]:
+    """Each way to read the words of the shorter name as words of the other: (log likelihood, words a lacks, words b lacks)."""
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    ways = []
+    for x in short:
+        found = [(word_given(x, y, person) if short is a else word_given(y, x, person), k) for k, y in enumerate(long)]
+        ways.append(sorted(((v, k) for v, k in found if v >= LIMIT), reverse=True))
+    ways.sort(key=len)
+
+    def walk(at: int, total: float, taken: frozenset[int]) -> Iterator[tuple[float, list[str], list[str]]]:
+        if at == len(ways):
+            spare = [y for k, y in enumerate(long) if k not in taken]
+            yield (total, spare, []) if short is a else (total, [], spare)
+            return
+        for v, k in ways[at]:
+            if k not in taken and total + v >= LIMIT:
+                yield from walk(at + 1, total + v, taken | {k})
+
+    return walk(0, 0.0, frozenset())
 
 
 def _initials(typed: Name, meant: Name, typed_lacks: list[str], meant_lacks: list[str]) -> float:
@@ -225,7 +263,7 @@ def _initials(typed: Name, meant: Name, typed_lacks: list[str], meant_lacks: lis
     a, b = list(typed.initials), list(meant.initials)
     for lacks, mine in ((typed_lacks, a), (meant_lacks, b)):
         for w in lacks:
-            hit = next((i for i in mine if w[0] == i or any(f[0] == i for f in FULL_NAMES.get(w, ()))), None)
+            hit = next((i for i in mine if i in first_letters(w)), None)
             if hit is not None:
                 mine.remove(hit)
     if a and b and not set(a) & set(b):
@@ -235,23 +273,39 @@ def _initials(typed: Name, meant: Name, typed_lacks: list[str], meant_lacks: lis
 
 def acronyms(name: Name) -> set[str]:
     """What the name's words can be shortened to; the order of words is lost, so letters are sorted."""
-    if name.acronym or not name.titles or not name.proper:
+    if name.acronym or name.initials or not name.proper or len(name.proper) + len(name.titles) < 2:
         return set()
     return {"".join(sorted(w[0] for w in (*name.proper, *name.titles)))}
 
 
-def block_keys(name: Name) -> list[str]:
-    """Keys of which a spelling shares one with any form it can be typed from: proper words without one letter, and acronyms."""
+def without_letters(word: str, n: int) -> set[str]:
+    """The word with up to n letters left out."""
+    return {"".join(c for i, c in enumerate(word) if i not in gone) for k in range(n + 1) for gone in combinations(range(len(word)), k)}
+
+
+def block_keys(name: Name) -> list[tuple[str, str]]:
+    """(key, word) of which a spelling shares a key with any form it can be typed from.
+
+    A proper word, with one letter left out too, beside the first letter of
+    another proper word, or of an initial if there is none: of two names every
+    word is read in the other, so one key holds unless a word has two slips and
+    another one a slip at its beginning. A name of one proper word has the word
+    alone as well, with two letters left out if it is long. Acronyms, and all
+    words as one. `word` is empty where nothing is left out: two spellings that
+    have the word in common need none of its other keys.
+    """
     if name.acronym:
-        return ["#" + "".join(sorted(name.acronym))]
-    out = {"#" + a for a in acronyms(name)}
-    for w in name.proper:
-        for full in [w, *FULL_NAMES.get(w, ())]:
-            out.add(full)
-            if len(full) >= 4:
-                out |= {full[:i] + full[i + 1 :] for i in range(len(full))}
-    joined = "".join(name.proper)
-    return sorted(out | {joined})
+        return [("#" + "".join(sorted(name.acronym)), "")]
+    out = {("#" + a, "") for a in acronyms(name)} | {("".join(name.proper), "")}
+    for at, w in enumerate(name.proper):
+        alone = len(name.proper) == 1
+        others = set(name.initials) if alone else {c for k, x in enumerate(name.proper) if k != at for c in first_letters(x)}
+        for full in (w, *FULL_NAMES.get(w, ())):
+            for k in without_letters(full, 1 if len(full) >= 4 else 0):
+                out |= {(f"{k} {c}", "" if k == full else full) for c in others}
+            if alone:
+                out |= {(k, "" if k == full else full) for k in without_letters(full, 2 if len(full) >= 6 else 1 if len(full) >= 4 else 0)}
+    return sorted(out)
 
 
 def link_spellings(names: DataFrame) -> DataFrame:
@@ -260,35 +314,50 @@ def link_spellings(names: DataFrame) -> DataFrame:
     names: (scope STRING, name STRING), one row for each time a name was typed.
     Spellings are only linked within a scope. Spellings that agree after case,
     punctuation, order, titles, legal forms, known abbreviations and nicknames
-    form one skeleton; a skeleton is attached to the one with the greatest
-    posterior among the more frequent ones it shares a key with, and to the best
-    of the rarer ones that it is plainly a slip of. NULL scopes and NULL or wordless names are left out;
+    form one skeleton, unless bearers of two generations (Jr, Sr, II ...) share
+    it: then each is one of its own, and the plain name goes with the most
+    frequent. A skeleton is attached to the one with the greatest posterior among
+    the more frequent ones it shares a key with; one without any, to the best of
+    the rarer ones that it is plainly a slip of, for a slip may be more frequent
+    than what was meant. NULL scopes and NULL or wordless names are left out;
     repeated rows raise a spelling's frequency.
     """
     typed = names.where("scope is not null and name is not null").groupBy("scope", "name").agg(F.count("*").alias("n"))
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            f["skeleton"] = [parsed(t).skeleton() for t in f["name"]]
-            yield f[f["skeleton"] != "||"]
-
-    typed = cut_lineage(typed.mapInPandas(split, "scope string, name string, n long, skeleton string"), "typed")
+            f["plain"] = [parsed(t).skeleton() for t in f["name"]]
+            f["generation"] = [parsed(t).generation or None for t in f["name"]]
+            yield f[f["plain"] != "||"]
+
+    parallel = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    typed = typed.repartition(parallel, "name").mapInPandas(split, "scope string, name string, n long, plain string, generation string")
+    same = Window.partitionBy("scope", "plain")
+    several = F.min("generation").over(same) < F.max("generation").over(same)
+    typed = typed.withColumn("bearers", F.sum("n").over(Window.partitionBy("scope", "plain", "generation")))
+    own = F.coalesce("generation", F.max_by("generation", F.when(F.col("generation").isNotNull(), F.struct("bearers", "generation"))).over(same))
+    typed = typed.withColumn("skeleton", F.when(several, F.concat_ws("|", "plain", own)).otherwise(F.col("plain")))
+    typed = cut_lineage(typed.select("scope", "name", "n", "skeleton"), "typed")
     forms = typed.groupBy("scope", "skeleton").agg(F.sum("n").alias("n"), F.max_by("name", F.struct("n", "name")).alias("name"))
+    forms = cut_lineage(forms.repartition(parallel, "skeleton").withColumn("id", F.monotonically_increasing_id()), "forms")
 
     def keyed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            f["key"] = [block_keys(parsed(t)) for t in f["name"]]
-            yield f.explode("key")
-
-    forms = cut_lineage(forms, "forms")
-    keys = cut_lineage(forms.mapInPandas(keyed, "scope string, skeleton string, n long, name string, key string"), "keys")
-    # keys only one form has pair nothing
-    keys = keys.join(keys.groupBy("scope", "key").agg(F.count("*").alias("k")).where("k > 1").select("scope", "key"), ["scope", "key"], "left_semi")
-    a = keys.select("scope", "key", F.col("skeleton").alias("sa"), F.col("n").alias("na"), F.col("name").alias("ta"))
-    b = keys.select("scope", "key", F.col("skeleton").alias("sb"), F.col("n").alias("nb"), F.col("name").alias("tb"))
+            rows = [(i, scope, k, w) for i, scope, t in zip(f["id"], f["scope"], f["name"], strict=True) for k, w in block_keys(parsed(t))]
+            yield pd.DataFrame(rows, columns=["id", "scope", "key", "word"])
+
+    keys = forms.select("id", "scope", "name").mapInPandas(keyed, "id long, scope string, key string, word string")
+    # two keys with one hash only make a candidate more
+    keys = keys.select("id", F.xxhash64("scope", "key").alias("key"), F.when(F.col("word") != "", F.xxhash64("word")).alias("word"), F.col("key").startswith("#").alias("letters"))
+    keys = cut_lineage(keys, "keys")
+    a = keys.select("key", F.col("id").alias("a"), F.col("word").alias("wa"), "letters")
+    b = keys.select("key", F.col("id").alias("b"), F.col("word").alias("wb"))
+    pairs = a.join(b, "key").where("a <> b and (wa is null and wb is null or not wa <=> wb)").select("a", "b", "letters").distinct()
+    side = lambda x: forms.select(F.col("id").alias(x), "scope", F.col("skeleton").alias(f"s{x}"), F.col("n").alias(f"n{x}"), F.col("name").alias(f"t{x}"))
     # an acronym hangs on a full form, however rare
     rank = lambda s, n: F.struct((~F.col(s).startswith("#")).alias("f"), F.col(n).alias("n"), F.col(s).alias("s"))
-    pairs = a.join(b, ["scope", "key"]).where("sa <> sb and (key not like '#%' or sa like '#%' or sb like '#%')").select("scope", "sa", "ta", "na", "sb", "tb", "nb", (rank("sb", "nb") > rank("sa", "na")).alias("up")).distinct()
+    pairs = pairs.join(side("a"), "a").join(side("b").withColumnRenamed("scope", "scope_b"), "b").where("scope = scope_b and (not letters or sa like '#%' or sb like '#%')")
+    pairs = pairs.select("scope", "sa", "ta", "na", "sb", "tb", "nb", (rank("sb", "nb") > rank("sa", "na")).alias("up"))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -310,7 +379,7 @@ def link_spellings(names: DataFrame) -> DataFrame:
             yield f[["scope", "sa", "sb", "up", "posterior"]]
 
     scored = pairs.mapInPandas(score, "scope string, sa string, sb string, up boolean, posterior double")
-    best = scored.groupBy("scope", "sa", "up").agg(F.max_by("sb", F.struct("posterior", "sb")).alias("sb"))
+    best = scored.groupBy("scope", "sa").agg(F.max_by("sb", F.struct("up", "posterior", "sb")).alias("sb"))
     node = lambda c: F.concat_ws("\u0001", "scope", c)
     links = connected_components(best.select(node("sa").alias("a"), node("sb").alias("b")))
     out = typed.withColumn("node", node("skeleton")).join(links, "node", "left")
