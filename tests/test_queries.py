@@ -51,7 +51,7 @@ def test_agrees_with_sql(spark, duck, name):
 
 
 def test_adapter_keeps_all_text(spark):
-    got = {r["result_id"]: r["legacy"] for r in QUERIES["d26_whole_adapter"](spark, FOLDER).collect()}
+    got = {r["result_id"]: r["reasoning"] + r["support"] for r in QUERIES["d26_adapter"](spark, FOLDER).collect()}
     rows = spark.read.parquet(f"{FOLDER}/baseline_results.parquet").where("reasoning is not null").collect()
     assert len(got) == len(rows) and any(len(r["reasoning"]) > 80 for r in rows)
     assert all(r["reasoning"] in got[r["result_id"]] and (r["support"] or "") in got[r["result_id"]] for r in rows)

@@ -53,14 +53,36 @@ def test_paged_source(spark, tmp_path, monkeypatch):
 def test_fundamentals_from_nested_maps(spark):
     m = "map<string,map<string,string>>"
     raw = spark.createDataFrame(
-        [("abc.us", "150000000000", {"2024-03-31": {"filing_date": "2024-05-01", "totalAssets": "10.9", "cash": "0", "cashAndEquivalents": "40000000000"}}, {"2024-03-31": {"totalRevenue": "junk"}, "2023-12-31": {"filing_date": "", "netIncome": "5"}}, {"2023-12-31": {"filing_date": "2024-02-01"}})],
-        f"symbol string, market_cap string, balance {m}, income {m}, cash {m}",
+        [("abc.us", "150000000000", {"2024-03-31": {"filing_date": "2024-05-01", "totalAssets": "10.9", "cash": "7", "cashAndCashEquivalents": "0", "shortLongTermDebtTotal": "0", "netDebt": "99", "totalDebt": "12", "longTermDebt": "8", "totalLiab": "3", "totalStockholderEquity": "x"}}, {"2024-03-31": {"totalRevenue": "junk"}, "2023-12-31": {"filing_date": "", "netIncome": "5"}}, {"2023-12-31": {"filing_date": "2024-02-01", "freeCashFlow": "-4.7", "totalCashFromOperatingActivities": "6"}}, {"PERatio": "12.5", "EarningsShare": "n/a"})],
+        f"symbol string, market_cap string, balance {m}, income {m}, cash {m}, highlights map<string,string>",
     )
     out = {str(r["report_date"]): r for r in nz.fundamentals(raw, "2024-01-01", "2024-12-31").collect()}
     assert set(out) == {"2024-03-31", "2023-12-31"}
     q = out["2024-03-31"]
-    assert (q["symbol"], q["market_cap"], q["cash_and_equivalents"], q["total_assets"], q["revenue"]) == ("ABC", 150000000000, 40000000000, 10, None)
+    assert (q["symbol"], q["market_cap"], q["cash_and_equivalents"], q["total_assets"], q["revenue"]) == ("ABC", 150000000000, 7, 10, None)
+    assert (q["total_debt"], q["total_liabilities"], q["stockholder_equity"], q["pe_ratio"], q["eps"], q["cash_json"]) == (12, 3, None, 12.5, None, None)
+    assert (out["2023-12-31"]["free_cash_flow"], out["2023-12-31"]["operating_cash_flow"], out["2023-12-31"]["net_income"]) == (-4, 6, 5)
     assert nz.fundamentals(raw, "2024-04-01", "2024-12-31").count() == 1
+    assert nz.fundamentals(raw.drop("highlights"), "2024-04-01", "2024-12-31").first()["pe_ratio"] is None
+
+
+def test_intraday_rows(spark):
+    raw = spark.createDataFrame([("2024-03-01 09:30:00", "1.5", "2", "1", "x", "10.7"), ("soon", "1", "1", "1", "1", "1"), (None, None, None, None, None, None)], "datetime string, open string, high string, low string, close string, volume string")
+    out = nz.intraday_rows(raw, "abc.US", "5m", "2024-03-01", "2024-03-01").collect()
+    assert [(r["symbol"], str(r["date"]), str(r["timestamp"]), r["interval"], r["open"], r["close"], r["volume"]) for r in out] == [("ABC", "2024-03-01", "2024-03-01 09:30:00", "5m", 1.5, None, 10)]
+    assert nz.intraday_rows(raw, "abc", "1h").count() == 3
+
+
+def test_articles_without_url_go_by_headline_and_time(spark):
+    from datetime import datetime
+
+    from tidemark.plans.ingest import absent_articles
+
+    at = datetime(2024, 1, 1)
+    schema = "news_id long, ticker_id int, url string, headline string, published_at timestamp_ntz"
+    old = spark.createDataFrame([(1, 7, None, "stored", at), (2, 7, "u1", "other", at)], schema)
+    new = spark.createDataFrame([(3, 7, None, "stored", at), (4, 7, None, "first", at), (5, 7, None, "second", at), (6, 7, "", "second", at), (7, 7, "u1", "third", at), (8, 7, "u2", "fourth", at), (9, 7, "u2", "fifth", at), (10, 8, None, "stored", at)], schema)
+    assert {r["news_id"] for r in absent_articles(new, old).collect()} == {4, 5, 8, 10}
 
 
 def test_normalisers(spark):

@@ -76,3 +76,74 @@ def lenient_json(text: Column) -> Column:
     whole = F.when(F.trim(text).startswith("{"), F.trim(text))
     valid = lambda c: F.when(F.try_parse_json(c).isNotNull(), c)
     return F.coalesce(valid(whole), valid(fence), valid(brace))
+
+
+def history_sharpe(returns: Column) -> tuple[Column, Column, Column]:
+    """(values, mean, sample deviation) of an array of returns; NULL counts as no array, the deviation of fewer than two is NULL."""
+    h = F.coalesce(returns, F.array().cast("array<double>"))
+    n = F.size(h)
+    mean = F.try_divide(F.aggregate(h, F.lit(0.0), lambda acc, v: acc + v), n)
+    squares = F.aggregate(h, F.struct(F.lit(0.0).alias("s"), mean.alias("m")), lambda acc, v: F.struct((acc["s"] + (v - acc["m"]) * (v - acc["m"])).alias("s"), acc["m"].alias("m")))["s"]
+    return n, mean, F.when(n >= 2, F.sqrt(F.try_divide(squares, n - 1)))
+
+
+def capped_sharpe(n: Column, mean: Column, deviation: Column, risk_free: float = 0.0) -> tuple[Column, Column]:
+    """(ratio, score): NULL and 0 for fewer than two values; 999.99 for a mean above the risk-free rate without any spread, else 0; the score is 0 below a ratio of 1, from there sigmoid(ratio - 1)."""
+    # values all alike have a deviation of 0 but for rounding
+    flat = deviation <= F.abs(mean) * 1e-12
+    ratio = F.when(n < 2, None).when(flat, F.when(mean > risk_free, 999.99).otherwise(0.0)).otherwise(F.try_divide(mean - risk_free, deviation))
+    return ratio, F.when((n < 2) | (ratio < 1), 0.0).otherwise(1 / (1 + F.exp(1 - ratio)))
+
+
+# The sections of an answer, and its recommendations by action.
+SECTIONS = ["fundamentals", "technical", "news", "valuation", "risk_assessment", "macro", "conclusion"]
+RECOMMENDATIONS = {"Strong Buy": "strong_buy", "Buy": "buy", "Hold": "hold", "Sell": "sell", "Strong Sell": "strong_sell"}
+
+
+def flat_answer(answer: Column) -> Column:
+    """An answer of seven sections (JSON text) as struct (action, reasoning, support).
+
+    The action is the conclusion's recommendation, `hold` where that is none of
+    the five. The conclusion's reasoning comes first, then what the other
+    sections say, in their order; of news, risks and macro 200 characters and
+    `...` are shown. Support is the conclusion's reasoning, confidence, target
+    price and horizon and the key metrics, a line each. NULL and junk have the
+    action `hold` and say so.
+    """
+    at = lambda path: F.nullif(F.get_json_object(answer, f"$.{path}"), F.lit(""))
+    # concat gives NULL where its value is missing, and concat_ws leaves that out
+    said = lambda label, path: F.concat(F.lit(label), at(path))
+    start = lambda label, path: F.concat(F.lit(label), F.substring(at(path), 1, 200), F.lit("..."))
+    section = lambda label, *parts: F.concat(F.lit(label), F.nullif(F.concat_ws(" | ", *parts), F.lit("")))
+    parts = F.array_compact(F.array(
+        section("Fundamentals: ", said("Balance Sheet: ", "fundamentals.balance_sheet_strength"), said("Income: ", "fundamentals.income_performance"), said("Cash Flow: ", "fundamentals.cash_flow")),
+        section("Technical: ", said("Price Action: ", "technical.price_action"), said("Momentum: ", "technical.momentum")),
+        section("News: ", said("Sentiment: ", "news.sentiment_summary"), start("Recent News: ", "news.recent_3_days")),
+        said("Valuation: ", "valuation.assessment"), start("Risks: ", "risk_assessment.ticker_specific_risks"), start("Macro: ", "macro.impact"),
+    ))
+    own = at("conclusion.reasoning")
+    reasoning = F.when(own.isNotNull(), F.concat(own, F.when(F.size(parts) > 0, F.concat(F.lit("\n\nAdditional Analysis:\n"), F.array_join(parts, "\n"))).otherwise(""))).when(F.size(parts) > 0, F.array_join(parts, "\n\n")).otherwise("No detailed reasoning provided")
+    metrics = F.from_json(F.get_json_object(answer, "$.fundamentals.key_metrics"), "map<string,string>")
+    shown = F.nullif(F.array_join(F.transform(F.filter(F.map_entries(metrics), lambda e: e["value"].isNotNull()), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), ", "), F.lit(""))
+    confidence = F.get_json_object(answer, "$.conclusion.confidence").try_cast("double")
+    support = F.concat_ws("\n", own, F.when(confidence.isNotNull(), F.format_string("Confidence: %.2f", confidence)), said("Target Price: ", "conclusion.target_price"), said("Time Horizon: ", "conclusion.time_horizon"), F.concat(F.lit("Key Metrics: "), shown))
+    action = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in RECOMMENDATIONS.items() for x in kv]), at("conclusion.recommendation")), F.lit("hold"))
+    struct = lambda a, r, s: F.struct(a.alias("action"), r.alias("reasoning"), s.alias("support"))
+    junk = F.coalesce(~F.ltrim(answer).startswith("{"), F.lit(True)) | F.try_parse_json(answer).isNull()
+    return F.when(junk, struct(F.lit("hold"), F.lit("Invalid response format"), F.lit(""))).otherwise(struct(action, reasoning, support))
+
+
+def answer_errors(answer: Column) -> list[Column]:
+    """What is wrong with an answer (JSON text), each NULL if it isn't: seven sections with a recommendation, or reasoning, action and support."""
+    has = lambda path: F.get_json_object(answer, f"$.{path}").isNotNull()
+    parsed = F.coalesce(F.try_parse_json(answer).isNotNull(), F.lit(False))
+    whole = has(SECTIONS[0])
+    for name in SECTIONS[1:]:
+        whole = whole & has(name)
+    said = F.get_json_object(answer, "$.conclusion.recommendation")
+    return [
+        F.when(~parsed, "answer isn't JSON"),
+        F.when(parsed & whole & said.isNull(), "no recommendation"),
+        F.when(parsed & whole & ~said.isin(*RECOMMENDATIONS), "unknown recommendation"),
+        *[F.when(parsed & ~whole & ~has(k), f"answer without {k}") for k in ("reasoning", "action", "support")],
+    ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.tables import absent, latest_by, upsert
 from tidemark.operators.trailing import clean_double
+from tidemark.plans.backtest import ORACLE_DAY, entry_day
 from tidemark.plans.shared import bars
 from tidemark.sources import normalise as nz
 from tidemark.tables import table
@@ -79,8 +80,14 @@ def s16_absent_bars(spark: SparkSession, folder: str) -> DataFrame:
 def s18_absent_news(spark: SparkSession, folder: str) -> DataFrame:
     """New articles whose url isn't loaded, nor their ticker, headline and time."""
     new, old = _load(spark, folder, "news")
-    new = absent(new.select("news_id", K, "url", "headline", "published_at"), old, ["url"], ["news_id"])
-    return absent(new, old, [K, "headline", "published_at"], ["news_id"]).select("news_id", K)
+    return absent_articles(new.select("news_id", K, "url", "headline", "published_at"), old).select("news_id", K)
+
+
+def absent_articles(new: DataFrame, old: DataFrame) -> DataFrame:
+    """The articles of `new` that aren't in `old`: by url, those without one (NULL or empty) only by ticker, headline and time."""
+    known = F.coalesce(F.col("url"), F.lit("")) != ""
+    by_url = absent(new.where(known), old.where(known), ["url"], ["news_id"])
+    return absent(by_url.unionByName(new.where(~known)), old, [K, "headline", "published_at"], ["news_id"])
 
 
 def s19_absent_filings(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,8 +129,24 @@ def s25_upsert_features(spark: SparkSession, folder: str) -> DataFrame:
     return stored.join(fresh, [K, "date"], "left").select(K, "date", F.round("sma_20", 4).alias("sma_20"), "typical")
 
 
+def p14_valid_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each example could open a position: a known ticker, a day, a price above 0 and an action, each and all."""
+    e = table(spark, folder, "rlvr_examples")
+    answer = F.get(F.filter("messages", lambda m: m["role"] == "assistant"), F.lit(0))["content"]
+    e = e.select("example_id", F.col("metadata.ticker").alias("symbol"), entry_day("metadata.entry_date").isNotNull().alias("day_ok"), F.coalesce(F.col("ground_truth.entry_price") > 0, F.lit(False)).alias("price_ok"), (F.coalesce(F.trim(F.get_json_object(answer, "$.action")), F.lit("")) != "").alias("action_ok"))
+    e = e.join(table(spark, folder, "tickers").select("symbol", K), "symbol", "left").withColumn("ticker_ok", F.coalesce(F.col(K) > 0, F.lit(False)))
+    return e.select("example_id", "ticker_ok", "day_ok", "price_ok", "action_ok", F.expr("ticker_ok and day_ok and price_ok and action_ok").alias("valid"))
+
+
+def s17_absent_macro(spark: SparkSession, folder: str) -> DataFrame:
+    """New observations of a series whose day isn't loaded, the first delivered of each: the orders table as macroeconomic records."""
+    o = table(spark, folder, "orders").select(F.substring("o_orderpriority", 1, 1).alias("series_id"), F.to_date("o_orderdate").alias("date"), "o_orderkey", F.col("o_totalprice").alias("value"))
+    old = o.where("o_orderkey % 4 <> 0")
+    return absent(o.where("o_orderkey % 4 = 0"), old, ["series_id", "date"], ["o_orderkey"])
+
+
 QUERIES = {f"ingest_{f.__name__}" if f.__name__.startswith("p") else f.__name__: f for f in (
-    p01_range_filter, p02_p03_eod_rows, p04_indicator_rows, p07_p12_news_labels, p08_insider_rows, p09_consensus, p13_dynamic_filter, s16_absent_bars, s18_absent_news, s19_absent_filings, s20_absent_trades,
+    p01_range_filter, p02_p03_eod_rows, p04_indicator_rows, p07_p12_news_labels, p08_insider_rows, p09_consensus, p13_dynamic_filter, p14_valid_positions, s16_absent_bars, s17_absent_macro, s18_absent_news, s19_absent_filings, s20_absent_trades,
     s21_absent_ratings, s22_upsert_tickers, s24_upsert_results, s25_upsert_features,
 )}
 
@@ -152,8 +175,14 @@ g AS (SELECT ticker_id, month, CAST(sum(n) AS BIGINT) AS total, arg_max(r, (n, -
 SELECT *, CASE consensus WHEN 'strong buy' THEN 'Strong Buy' WHEN 'strong sell' THEN 'Strong Sell' ELSE upper(consensus[1]) || consensus[2:] END || ' of ' || total || ' ratings' AS summary FROM g""",
     "ingest_p13_dynamic_filter": "SELECT result_id, strategy, entry_date FROM baseline_results WHERE TRY_CAST(entry_date AS DATE) >= DATE '2024-01-01' AND strategy IN ('A', 'C')",
     "s16_absent_bars": _absent_sql("market_data", "market_data_id", [K, "date"], "market_data_id, ticker_id, date"),
-    "s18_absent_news": f"""WITH u AS ({_absent_sql("news", "news_id", ["url"], "news_id, ticker_id, headline, published_at")}), v AS (SELECT *, row_number() OVER (PARTITION BY ticker_id, headline, published_at ORDER BY news_id) AS rn FROM u)
+    "s18_absent_news": f"""WITH u AS ({_absent_sql("news", "news_id", ["url"], "news_id, ticker_id, headline, published_at", "coalesce(url, '') <> ''")}
+UNION ALL SELECT news_id, ticker_id, headline, published_at FROM news WHERE NOT {_OLD} AND coalesce(url, '') = ''), v AS (SELECT *, row_number() OVER (PARTITION BY ticker_id, headline, published_at ORDER BY news_id) AS rn FROM u)
 SELECT news_id, ticker_id FROM v WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM news o WHERE o.{_OLD} AND o.ticker_id IS NOT DISTINCT FROM v.ticker_id AND o.headline IS NOT DISTINCT FROM v.headline AND o.published_at IS NOT DISTINCT FROM v.published_at)""",
+    "s17_absent_macro": """WITH o AS (SELECT substr(o_orderpriority, 1, 1) AS series_id, CAST(o_orderdate AS DATE) AS date, o_orderkey, o_totalprice AS value FROM orders)
+SELECT series_id, date, o_orderkey, value FROM (SELECT *, row_number() OVER (PARTITION BY series_id, date ORDER BY o_orderkey) AS rn FROM o WHERE o_orderkey % 4 = 0) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM o WHERE o_orderkey % 4 <> 0 AND o.series_id = n.series_id AND o.date = n.date)""",
+    "ingest_p14_valid_positions": f"""WITH e AS (SELECT example_id, metadata.ticker AS symbol, {ORACLE_DAY.format(c="metadata.entry_date")} IS NOT NULL AS day_ok, coalesce(ground_truth.entry_price > 0, false) AS price_ok, list_filter(messages, lambda m: m.role = 'assistant')[1].content AS a FROM rlvr_examples),
+x AS (SELECT e.*, coalesce(trim(CASE WHEN json_valid(a) THEN a ->> '$.action' END), '') <> '' AS action_ok, coalesce(ticker_id > 0, false) AS ticker_ok FROM e LEFT JOIN tickers USING (symbol))
+SELECT example_id, ticker_ok, day_ok, price_ok, action_ok, ticker_ok AND day_ok AND price_ok AND action_ok AS valid FROM x""",
     "s19_absent_filings": _absent_sql("fundamentals", "fundamental_id", [K, "report_date", "filing_date"], "fundamental_id, ticker_id, report_date, CAST(filing_date AS VARCHAR) AS filing_date"),
     "s20_absent_trades": _absent_sql("insider_transactions", "transaction_id", _TRADE, "transaction_id, ticker_id", "owner_name IS NOT NULL AND transaction_code IS NOT NULL AND transaction_date IS NOT NULL"),
     "s21_absent_ratings": f"WITH k AS (SELECT *, {_KEY} AS k FROM analyst_recommendations) SELECT recommendation_id FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY recommendation_id) AS rn FROM k WHERE NOT {_OLD}) n WHERE rn = 1 AND k NOT IN (SELECT k FROM k WHERE {_OLD})",

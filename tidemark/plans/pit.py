@@ -24,6 +24,10 @@ FILING = [
 SECTIONS = ["technical", "recent_articles", "older_articles", "sentiment_features", "macro", "insider_transactions", "analyst_recommendations"]
 
 
+# Filings dated before their report can't be true: as in p3_found they never count, nor do those without either date.
+_TRUE = "f.filing_date >= f.report_date"
+
+
 def spine(spark: SparkSession, folder: str) -> DataFrame:
     """(ticker_id, as_of): the days on which something was recommended."""
     return table(spark, folder, "analyst_recommendations").where("ticker_id is not null and date is not null").select(K, F.col("date").alias("as_of")).distinct()
@@ -69,7 +73,10 @@ def t03_older_news(spark: SparkSession, folder: str) -> DataFrame:
     start, end = F.date_sub("as_of", 30), F.date_sub("oldest", 1)
     asked = days.where(start <= end).withColumn("day", F.explode(F.sequence(start, end)))
     w = Window.partitionBy(K, "as_of").orderBy(F.desc_nulls_last("score"), F.desc("published_at"), F.desc("news_id"))
-    out = asked.join(_dated_articles(spark, folder), [K, "day"]).withColumn("rn", F.row_number().over(w)).where("rn <= 75")
+    # 75 of a day suffice: no hot day repeats more than these for every as_of
+    order = [F.desc_nulls_last("score"), F.desc("published_at"), F.desc("news_id")]
+    best = _dated_articles(spark, folder).withColumn("r1", F.row_number().over(Window.partitionBy(K, "day").orderBy(*order))).where("r1 <= 75").drop("r1")
+    out = asked.join(best, [K, "day"]).withColumn("rn", F.row_number().over(w)).where("rn <= 75")
     return out.select(K, "as_of", "news_id", "rn")
 
 
@@ -91,7 +98,7 @@ def t04_last_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 def j09_inclusive_filing(spark: SparkSession, folder: str) -> DataFrame:
     """The filing of the latest filing date up to and on each day."""
-    f = table(spark, folder, "fundamentals").where("filing_date is not null")
+    f = table(spark, folder, "fundamentals").where("filing_date >= report_date")
     out = as_known(spine(spark, folder), f, K, "as_of", F.col("filing_date"), [F.col("filing_date"), F.col("fundamental_id")], ["fundamental_id", "revenue"], strict=False)
     return out.select(K, "as_of", F.col("as_known.fundamental_id").alias("fundamental_id"), F.col("as_known.revenue").alias("revenue"))
 
@@ -113,6 +120,25 @@ def j08_w15_macro(spark: SparkSession, folder: str) -> DataFrame:
     return then.select("as_of", "series_id", "value", F.round(F.try_divide(F.col("value") - F.col("as_known.value"), F.col("as_known.value")), 6).alias("change_30"))
 
 
+# Which of the five series stands for which.
+MACRO = {"ten_year": "1", "two_year": "2", "cpi": "3", "gdp": "4", "unemployment": "5"}
+
+
+def w15_macro_features(spark: SparkSession, folder: str) -> DataFrame:
+    """For each calendar day: the ten- less the two-year yield, monthly and (times 12) yearly inflation, growth over 90 days, and the change of unemployment."""
+    obs = _observations(spark, folder)
+    days = obs.agg(F.min("date").alias("a"), F.max("date").alias("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
+    # each ask once for the day itself and once for the day it is compared with
+    back = F.create_map(*[F.lit(v) for v in (MACRO["cpi"], 30, MACRO["gdp"], 90, MACRO["unemployment"], 30)])
+    asks = days.select("day", F.explode(F.array(*[F.lit(v) for v in MACRO.values()])).alias("series_id")).withColumn("before", F.explode(F.array(F.lit(0), F.try_element_at(back, F.col("series_id"))))).where("before is not null")
+    asks = asks.withColumn("as_of", F.date_sub("day", F.col("before")))
+    known = as_known(asks, obs, "series_id", "as_of", F.col("date"), [F.col("date")], ["value"], strict=False).withColumn("value", F.col("as_known.value"))
+    value = lambda name, then=False: F.max(F.when((F.col("series_id") == MACRO[name]) & ((F.col("before") > 0) == then), F.col("value")))
+    g = known.groupBy("day").agg(*[value(n).alias(n) for n in MACRO], *[value(n, True).alias(f"{n}_then") for n in ("cpi", "gdp", "unemployment")])
+    cpi = F.try_divide(F.col("cpi") - F.col("cpi_then"), F.col("cpi_then"))
+    return g.select("day", F.round(F.col("ten_year") - F.col("two_year"), 4).alias("yield_spread"), F.round(cpi, 6).alias("cpi_monthly"), F.round(cpi * 12, 6).alias("cpi_yearly"), F.round(F.try_divide(F.col("gdp") - F.col("gdp_then"), F.abs("gdp_then")), 6).alias("gdp_growth"), F.round(F.col("unemployment") - F.col("unemployment_then"), 4).alias("unemployment_change"))
+
+
 def j11_d01_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     """The outcome of holding each bar three bars: out early on the first of bars 2 and 3 whose rating isn't a buy any more.
 
@@ -155,12 +181,17 @@ def a07_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def d31_freshness(spark: SparkSession, folder: str) -> DataFrame:
-    """How stale each ticker's data are at the end: filings after 90 days, news after 30, bars after 7."""
-    limits = F.create_map(*[F.lit(x) for x in ("filings", 90, "news", 30, "bars", 7)])
-    cover = a07_coverage(spark, folder).where("kind in ('filings', 'news', 'bars')")
-    asks = table(spark, folder, "tickers").select(K, F.explode(F.array(*[F.lit(k) for k in ("filings", "news", "bars")])).alias("kind"))
-    x = asks.join(cover, [K, "kind"], "left").withColumn("days", F.datediff(F.lit(AS_OF).cast("date"), "last_day"))
-    return x.select(K, "kind", "days", F.when(F.col("days").isNull(), "missing").when(F.col("days") <= limits[F.col("kind")], "fresh").otherwise("stale").alias("state"))
+    """How stale each ticker's data are on AS_OF, by what was there before it: filings after 90 days, news after 30, bars after 7."""
+    limits = {"filings": ("fundamentals", "filing_date", 90), "news": ("news", "published_at", 30), "bars": ("market_data", "date", 7)}
+    as_of = F.lit(AS_OF).cast("date")
+    asks = table(spark, folder, "tickers").select(K, F.explode(F.array(*[F.lit(k) for k in limits])).alias("kind"))
+    last = None
+    for kind, (name, day, _) in limits.items():
+        part = table(spark, folder, name).where(F.to_date(day) < as_of).groupBy(K).agg(F.to_date(F.max(day)).alias("last_day")).withColumn("kind", F.lit(kind))
+        last = part if last is None else last.unionByName(part)
+    x = asks.join(last, [K, "kind"], "left").withColumn("days", F.datediff(as_of, "last_day"))
+    limit = F.create_map(*[F.lit(v) for k, (_, _, n) in limits.items() for v in (k, n)])[F.col("kind")]
+    return x.select(K, "kind", "days", F.when(F.col("days").isNull(), "missing").when(F.col("days") <= limit, "fresh").otherwise("stale").alias("state"))
 
 
 def _weekday_index(day: Column) -> Column:
@@ -232,7 +263,7 @@ def d28_age_tiers(spark: SparkSession, folder: str) -> DataFrame:
 def d29_point_in_time(spark: SparkSession, folder: str) -> DataFrame:
     """One record a ticker and day: the last 30 bars, the filing known, the last trades and the recent articles, nothing of the day itself or later."""
     asks = spine(spark, folder)
-    f = table(spark, folder, "fundamentals").where("filing_date is not null")
+    f = table(spark, folder, "fundamentals").where("filing_date >= report_date")
     filing = as_known(asks, f, K, "as_of", F.col("filing_date"), [F.col("filing_date"), F.col("fundamental_id")], ["fundamental_id"]).select(K, "as_of", F.col("as_known.fundamental_id").alias("fundamental_id"))
     technical = t01_last_bars(spark, folder).groupBy(K, "as_of").agg(F.count("*").alias("n_bars"), F.max_by("close", "date").alias("last_close"), F.max("date").cast("string").alias("last_bar"))
     trades = t04_last_insider(spark, folder).groupBy(K, "as_of").agg(F.array_join(F.transform(F.sort_array(F.collect_list("transaction_id")), lambda x: x.cast("string")), ",").alias("trades"))
@@ -263,7 +294,7 @@ def point_in_time_records(spark: SparkSession, folder: str) -> DataFrame:
     full = full.withColumns({c: clean_double(c) for c in [*PRICES, *INDICATORS]})
     technical = t01_last_bars(spark, folder).select(K, "as_of", "date", (F.col("bars_back") + 1).alias("pos")).join(full, [K, "date"])
 
-    filings = table(spark, folder, "fundamentals").where("filing_date is not null")
+    filings = table(spark, folder, "fundamentals").where("filing_date >= report_date")
     out = as_known(asks, filings, K, "as_of", F.col("filing_date"), [F.col("filing_date"), F.col("fundamental_id")], ["fundamental_id", *FILING]).withColumnRenamed("as_known", "fundamentals")
 
     n = table(spark, folder, "news").select("news_id", "published_at", "headline", "source", "url", clean_double("sentiment_score").alias("sentiment_score"), "sentiment_label", "summary")
@@ -316,7 +347,7 @@ def d29_d30_record_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    t01_last_bars, t02_recent_news, t03_older_news, t04_last_insider, t04_last_ratings, j09_inclusive_filing, j08_w15_macro, j11_d01_outcomes, j13_d06_calendar_exit, j15_windowed_lookback, j16_d34_last_days,
+    t01_last_bars, t02_recent_news, t03_older_news, t04_last_insider, t04_last_ratings, j09_inclusive_filing, j08_w15_macro, w15_macro_features, j11_d01_outcomes, j13_d06_calendar_exit, j15_windowed_lookback, j16_d34_last_days,
     a07_coverage, a32_d32_gaps, d27_first_seen, d28_age_tiers, d29_point_in_time, d29_d30_record_items, d31_freshness, d33_news_buckets,
 )}
 
@@ -343,11 +374,15 @@ r AS (SELECT o.ticker_id, as_of, news_id, row_number() OVER (PARTITION BY o.tick
     "t04_last_ratings": f"""WITH {_SPINE}, r AS (SELECT s.ticker_id, s.as_of, t.recommendation_id, row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY t.date DESC, t.recommendation_id DESC) AS rn
   FROM spine s JOIN analyst_recommendations t ON t.ticker_id = s.ticker_id AND t.date < s.as_of AND t.date >= s.as_of - 90) SELECT ticker_id, as_of, recommendation_id, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 50""",
     "j09_inclusive_filing": f"""WITH {_SPINE}, r AS (SELECT s.ticker_id, s.as_of, f.fundamental_id, f.revenue, row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY f.filing_date DESC NULLS LAST, f.fundamental_id DESC) AS rn
-  FROM spine s LEFT JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date <= s.as_of) SELECT ticker_id, as_of, fundamental_id, revenue FROM r WHERE rn = 1""",
+  FROM spine s LEFT JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date <= s.as_of AND {_TRUE}) SELECT ticker_id, as_of, fundamental_id, revenue FROM r WHERE rn = 1""",
     "j08_w15_macro": f"""WITH {_OBS}, d AS (SELECT CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS as_of FROM obs),
 a AS (SELECT as_of, as_of - 30 AS back, CAST(k AS VARCHAR) AS series_id FROM d, range(1, 6) t(k)),
 n AS (SELECT a.*, o.value FROM a ASOF LEFT JOIN obs o ON o.series_id = a.series_id AND o.date <= a.as_of), p AS (SELECT n.*, o.value AS prev FROM n ASOF LEFT JOIN obs o ON o.series_id = n.series_id AND o.date <= CAST(n.back AS DATE))
 SELECT as_of, series_id, value, round((value - prev) / nullif(prev, 0), 6) AS change_30 FROM p""",
+    "w15_macro_features": f"""WITH {_OBS}, d AS (SELECT CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM obs),
+a AS (SELECT day, CAST(k AS VARCHAR) AS series_id, day - b AS as_of, b FROM d, (VALUES (1, 0), (2, 0), (3, 0), (3, 30), (4, 0), (4, 90), (5, 0), (5, 30)) v(k, b)), n AS (SELECT a.*, o.value FROM a ASOF LEFT JOIN obs o ON o.series_id = a.series_id AND o.date <= CAST(a.as_of AS DATE)),
+p AS (SELECT day, {", ".join(f"max(value) FILTER (series_id = '{k}' AND {'b > 0' if t else 'b = 0'}) AS v{k}{t}" for k, t in (("1", ""), ("2", ""), ("3", ""), ("3", "p"), ("4", ""), ("4", "p"), ("5", ""), ("5", "p")))} FROM n GROUP BY 1)
+SELECT day, round(v1 - v2, 4) AS yield_spread, round((v3 - v3p) / nullif(v3p, 0), 6) AS cpi_monthly, round((v3 - v3p) / nullif(v3p, 0) * 12, 6) AS cpi_yearly, round((v4 - v4p) / nullif(abs(v4p), 0), 6) AS gdp_growth, round(v5 - v5p, 4) AS unemployment_change FROM p""",
     "j11_d01_outcomes": f"""WITH {SERIES}, ra AS (SELECT ticker_id, date, arg_max(struct_pack(r := lower(trim(rating))), recommendation_id).r AS rating FROM analyst_recommendations WHERE ticker_id IS NOT NULL GROUP BY 1, 2),
 x AS (SELECT s.*, ra.rating AS rating FROM s LEFT JOIN ra USING (ticker_id, date)),
 y AS (SELECT *, lead(close, 2) OVER w AS c2, lead(close, 3) OVER w AS c3, lead(date, 2) OVER w AS d2, lead(date, 3) OVER w AS d3, lead(rating, 2) OVER w AS r2, lead(rating, 3) OVER w AS r3 FROM x WINDOW w AS (PARTITION BY ticker_id ORDER BY i)),
@@ -369,7 +404,7 @@ SELECT ticker_id, min(date) AS gap_start, max(date) AS gap_end, count(*) AS week
     "d27_first_seen": "SELECT sha256(coalesce(headline, '') || '|' || strftime(published_at, '%Y-%m-%d %H:%M:%S') || '|' || coalesce(summary, '')) AS content_hash, min(news_id) AS news_id, count(*) AS copies FROM news GROUP BY 1",
     "d28_age_tiers": f"""WITH {_DATED}, l AS (SELECT *, max(day) OVER (PARTITION BY ticker_id) AS latest FROM art), t AS (SELECT ticker_id, date_diff('day', day, DATE '{AS_OF}') AS age, date_diff('day', day, latest) AS own FROM l)
 SELECT ticker_id, CASE WHEN age <= 7 THEN 'recent' WHEN age <= 30 THEN 'medium' ELSE 'historical' END AS tier, CASE WHEN own <= 7 THEN 'recent' WHEN own <= 30 THEN 'medium' ELSE 'historical' END AS own_tier, count(*) AS n FROM t WHERE age <= 90 GROUP BY 1, 2, 3""",
-    "d29_point_in_time": f"""WITH {_LAST_BARS}, {_DAYS3}, {_TRADES}, f AS (SELECT s.ticker_id, s.as_of, arg_max(f.fundamental_id, (f.filing_date, f.fundamental_id)) AS fundamental_id FROM spine s LEFT JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date < s.as_of GROUP BY 1, 2),
+    "d29_point_in_time": f"""WITH {_LAST_BARS}, {_DAYS3}, {_TRADES}, f AS (SELECT s.ticker_id, s.as_of, arg_max(f.fundamental_id, (f.filing_date, f.fundamental_id)) AS fundamental_id FROM spine s LEFT JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date < s.as_of AND {_TRUE} GROUP BY 1, 2),
 t AS (SELECT ticker_id, as_of, count(*) AS n_bars, arg_max(close, date) AS last_close, CAST(max(date) AS VARCHAR) AS last_bar FROM lb WHERE rn <= 30 GROUP BY 1, 2), i AS (SELECT ticker_id, as_of, string_agg(CAST(transaction_id AS VARCHAR), ',' ORDER BY transaction_id) AS trades FROM tr WHERE rn <= 20 GROUP BY 1, 2),
 n AS (SELECT d3.ticker_id, as_of, count(*) AS n_news, max(news_id) AS last_news FROM d3 JOIN art USING (ticker_id, day) WHERE rn <= 3 GROUP BY 1, 2)
 SELECT * FROM f LEFT JOIN t USING (ticker_id, as_of) LEFT JOIN i USING (ticker_id, as_of) LEFT JOIN n USING (ticker_id, as_of)""",
@@ -379,7 +414,7 @@ old AS (SELECT o.ticker_id, as_of, news_id, row_number() OVER (PARTITION BY o.ti
   FROM o JOIN art ON art.ticker_id = o.ticker_id AND art.day < o.oldest AND art.day >= o.as_of - 30),
 rec AS (SELECT d3.ticker_id, as_of, news_id, row_number() OVER (PARTITION BY d3.ticker_id, as_of ORDER BY published_at DESC, news_id DESC) AS rn FROM d3 JOIN art USING (ticker_id, day) WHERE d3.rn <= 3),
 full_bars AS (SELECT ticker_id, date, arg_max(struct_pack(v := rsi_14), (created_at, market_data_id)).v AS rsi_14 FROM market_data WHERE ticker_id IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2),
-fil AS (SELECT s.ticker_id, s.as_of, f.*, row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY f.filing_date DESC, f.fundamental_id DESC) AS rn FROM spine s JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date < s.as_of),
+fil AS (SELECT s.ticker_id, s.as_of, f.*, row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY f.filing_date DESC, f.fundamental_id DESC) AS rn FROM spine s JOIN fundamentals f ON f.ticker_id = s.ticker_id AND f.filing_date < s.as_of AND {_TRUE}),
 rat AS (SELECT s.ticker_id, s.as_of, t.* EXCLUDE (ticker_id), row_number() OVER (PARTITION BY s.ticker_id, s.as_of ORDER BY t.date DESC, t.recommendation_id DESC) AS rn
   FROM spine s JOIN analyst_recommendations t ON t.ticker_id = s.ticker_id AND t.date < s.as_of AND t.date >= s.as_of - 90),
 feat AS ({FEATURES["a08_w13_sentiment"]}), mac AS (SELECT a.as_of, o.* FROM (SELECT as_of, CAST(k AS VARCHAR) AS series_id FROM (SELECT DISTINCT as_of FROM spine), range(1, 6) t(k)) a ASOF JOIN obs o ON o.series_id = a.series_id AND o.date < a.as_of)
@@ -392,8 +427,9 @@ UNION ALL SELECT s.ticker_id, s.as_of, 'macro', CAST(series_id AS INTEGER), seri
 UNION ALL SELECT tr.ticker_id, as_of, 'insider_transactions', CAST(rn AS INTEGER), CAST(transaction_id AS VARCHAR), transaction_date, concat_ws('|', owner_name, transaction_code), shares, transaction_price FROM tr JOIN insider_transactions USING (transaction_id) WHERE rn <= 20
 UNION ALL SELECT ticker_id, as_of, 'analyst_recommendations', CAST(rn AS INTEGER), CAST(recommendation_id AS VARCHAR), date, concat_ws('|', firm, rating, analyst_insights), target_price, NULL FROM rat WHERE rn <= 50
 UNION ALL SELECT ticker_id, as_of, 'fundamentals', 1, CAST(fundamental_id AS VARCHAR), filing_date, NULL, revenue, eps FROM fil WHERE rn = 1""",
-    "d31_freshness": f"""WITH c AS ({_COVER}), a AS (SELECT ticker_id, kind, lim FROM tickers, (VALUES ('filings', 90), ('news', 30), ('bars', 7)) v(kind, lim)),
-x AS (SELECT a.*, CAST(date_diff('day', last_day, DATE '{AS_OF}') AS INTEGER) AS days FROM a LEFT JOIN c USING (ticker_id, kind)) SELECT ticker_id, kind, days, CASE WHEN days IS NULL THEN 'missing' WHEN days <= lim THEN 'fresh' ELSE 'stale' END AS state FROM x""",
+    "d31_freshness": f"""WITH c AS (SELECT 'filings' AS kind, ticker_id, filing_date AS d FROM fundamentals UNION ALL SELECT 'news', ticker_id, CAST(published_at AS DATE) FROM news UNION ALL SELECT 'bars', ticker_id, date FROM market_data),
+a AS (SELECT ticker_id, kind, lim FROM tickers, (VALUES ('filings', 90), ('news', 30), ('bars', 7)) v(kind, lim)), x AS (SELECT a.ticker_id, a.kind, lim, CAST(date_diff('day', max(d), DATE '{AS_OF}') AS INTEGER) AS days FROM a LEFT JOIN c ON c.ticker_id = a.ticker_id AND c.kind = a.kind AND d < DATE '{AS_OF}' GROUP BY 1, 2, 3)
+SELECT ticker_id, kind, days, CASE WHEN days IS NULL THEN 'missing' WHEN days <= lim THEN 'fresh' ELSE 'stale' END AS state FROM x""",
     "d33_news_buckets": f"""WITH {SERIES}, {_SPINE}, {_DATED}, l AS (SELECT sp.ticker_id, sp.as_of, max(s.i) AS last FROM spine sp JOIN s ON s.ticker_id = sp.ticker_id AND s.date < sp.as_of GROUP BY 1, 2),
 n AS (SELECT art.ticker_id, art.day, s.i FROM art ASOF JOIN s ON s.ticker_id = art.ticker_id AND s.date <= art.day), h AS (SELECT l.ticker_id, l.as_of, l.last - n.i + 1 AS back FROM l JOIN n ON n.ticker_id = l.ticker_id AND n.day < l.as_of AND n.i BETWEEN l.last - 29 AND l.last)
 SELECT ticker_id, as_of, count(*) FILTER (back BETWEEN 1 AND 3) AS recent, count(*) FILTER (back BETWEEN 4 AND 10) AS middle, count(*) FILTER (back BETWEEN 11 AND 30) AS older FROM h GROUP BY 1, 2""",

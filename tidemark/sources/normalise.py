@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def base_symbol(column: str) -> Column:
+def base_symbol(column: str | Column) -> Column:
     """`aapl.US` to `AAPL`."""
     return F.upper(F.split_part(F.trim(column), F.lit("."), F.lit(1)))
 
@@ -72,31 +72,57 @@ def explode_map(df: DataFrame, column: str, key: str, value: str, *keep: str) ->
     return df.select(*keep, F.explode(column).alias(key, value))
 
 
+def intraday_rows(raw: DataFrame, symbol: str, interval: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Intraday records (datetime, open, high, low, close, volume) of one symbol as typed rows, within both days; an unreadable time is NULL and left out by a range."""
+    at = F.try_to_timestamp("datetime").cast("timestamp_ntz")
+    rows = raw.select(base_symbol(F.lit(symbol)).alias("symbol"), F.to_date(at).alias("date"), at.alias("timestamp"), F.lit(interval).alias("interval"), *[safe_double(c).alias(c) for c in ("open", "high", "low", "close")], safe_long("volume").alias("volume"))
+    return in_range(rows, "date", start, end)
+
+
+# The items of each statement, as they are delivered, by the column they become; of several the first that is neither absent nor 0.
+ITEMS = {
+    "income": {"revenue": "totalRevenue", "net_income": "netIncome", "operating_income": "operatingIncome", "gross_profit": "grossProfit", "ebitda": "ebitda"},
+    "balance": {
+        "total_assets": "totalAssets", "total_liabilities": "totalLiab", "stockholder_equity": "totalStockholderEquity",
+        "cash_and_equivalents": "cashAndCashEquivalents cash cashAndShortTermInvestments", "total_debt": "shortLongTermDebtTotal totalDebt longTermDebt",
+    },
+    "cash": {"operating_cash_flow": "totalCashFromOperatingActivities", "free_cash_flow": "freeCashFlow"},
+}
+HIGHLIGHTS = {"pe_ratio": "PERatio", "eps": "EarningsShare", "book_value": "BookValue"}
+
+
 def fundamentals(raw: DataFrame, start: str, end: str) -> DataFrame:
     """Quarters of nested filings to rows.
 
-    raw: symbol, market_cap, balance, income, cash: the last three are maps of
-    quarter to a map of item to text. A quarter is in the result if any of the
-    maps has it, its filing date (the first given, in this order) exists and
-    lies within both dates. Junk numbers are NULL. Cash and debt take the first
-    of their items that is neither absent nor 0.
+    raw: symbol, market_cap, balance, income, cash and, if there, highlights:
+    the three statements are maps of quarter to a map of item to text,
+    highlights is a map of item to text. A quarter is in the result if any of
+    the statements has it, its filing date (the first given, in this order)
+    exists and lies within both dates. Junk numbers are NULL. The statements
+    come out as JSON too, NULL where a quarter has none.
     """
+
     def part(name: str) -> DataFrame:
         return raw.select("symbol", F.explode(name).alias("quarter", name))
 
-    joined = raw.select("symbol", "market_cap").join(part("balance").join(part("income"), ["symbol", "quarter"], "full_outer").join(part("cash"), ["symbol", "quarter"], "full_outer"), "symbol")
+    highlights = F.col("highlights") if "highlights" in raw.columns else F.lit(None).cast("map<string,string>")
+    heads = raw.select("symbol", "market_cap", highlights.alias("highlights"))
+    joined = heads.join(part("balance").join(part("income"), ["symbol", "quarter"], "full_outer").join(part("cash"), ["symbol", "quarter"], "full_outer"), "symbol")
     item = lambda m, k: F.try_element_at(m, F.lit(k))
     filing = F.coalesce(*[F.nullif(item(m, "filing_date"), F.lit("")) for m in ("balance", "income", "cash")])
+
+    def figure(m: str, names: str) -> Column:
+        found = [safe_long(item(m, k)) for k in names.split()]
+        return found[0] if len(found) == 1 else first_truthy(*found)
+
     out = joined.select(
         base_symbol("symbol").alias("symbol"),
         F.to_date("quarter").alias("report_date"),
         F.to_date(filing).alias("filing_date"),
         safe_long("market_cap").alias("market_cap"),
-        safe_long(item("income", "totalRevenue")).alias("revenue"),
-        safe_long(item("income", "netIncome")).alias("net_income"),
-        safe_long(item("balance", "totalAssets")).alias("total_assets"),
-        first_truthy(*[safe_long(item("balance", k)) for k in ("cash", "cashAndEquivalents", "cashAndShortTermInvestments")]).alias("cash_and_equivalents"),
-        first_truthy(*[safe_long(item("balance", k)) for k in ("shortLongTermDebtTotal", "longTermDebt", "netDebt")]).alias("total_debt"),
+        *[safe_double(item("highlights", k)).alias(c) for c, k in HIGHLIGHTS.items()],
+        *[figure(m, names).alias(c) for m, items in ITEMS.items() for c, names in items.items()],
+        *[F.to_json(F.when(F.size(m) > 0, F.col(m))).alias(f"{m}_json") for m in ("balance", "income", "cash")],
     )
     return in_range(out.where("filing_date is not null"), "filing_date", start, end)
 
