@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.labelled import COMMON_WORDS, labelled_documents
 
 BULLET = r"^\s*(?:[-*•+–—→>]|\[[ xX]?\]|\(?[0-9]{1,3}[.)]|\(?[a-zA-Z][.)])\s+"
-FIELD = r"\||\t|(?<=\S) {2,}(?=\S)|\.{4,}|\";\"|[;,](?=[^\s\d])|(?<=[^\d\s])[;,](?=\d)"
+# what fields are set apart by: signs found as they are, two blanks, and a comma or semicolon without a blank that isn't a number's
+FIELD_SIGNS = ("|", "\t", "....", '";"')
+FIELD_COMMA = r"[;,](?:[^\s\d]|(?<=[^\d\s].)\d)"
 # whole words; possessive, so that a word of any length takes linear time
 LETTERS = r"[(\"'“«¿¡]*+\p{L}[\p{L}'’&-]*+[.,;:!?)\"'”»…]*+"
 NUMBER = r"[(\[$€£+\-\"]*+\p{N}[\p{N}.,:/\-]*+[%)\]\".,;:?]*+"
@@ -27,75 +29,68 @@ STATISTICS = (
 )
 
 
-def trie_pattern(words: Sequence[str]) -> str:
-    """A pattern of exactly these words that branches letter by letter, so a word is tried once and not against each."""
-    tree: dict = {}
-    for w in words:
-        at = tree
-        for c in w:
-            at = at.setdefault(c, {})
-        at[""] = {}
-
-    def pattern(node: dict) -> str:
-        parts = [c + pattern(rest) for c, rest in sorted(node.items()) if c]
-        if not parts:
-            return ""
-        joined = parts[0] if len(parts) == 1 and "" not in node else f"(?:{'|'.join(parts)})"
-        return joined + "?" if "" in node else joined
-
-    return pattern(tree)
-
-
-def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """`df` with a struct column `stats` of STATISTICS for each whole text; NULL for null, empty and blank texts.
+def statistics(df: DataFrame, text: str = "text", wanted: Sequence[str] = STATISTICS) -> DataFrame:
+    """`df` with a struct column `stats` of the wanted statistics for each whole text; NULL for null, empty and blank texts.
 
     Lines are the non-blank ones; words are runs of non-space characters.
     distinct_word_rate is distinct words over the square root of words, which
     hardly depends on length. Repeated rows each come out.
     """
-    t = F.regexp_replace(F.col(text), r"\r\n|[\r\u0085\u2028\u2029\u000B\u000C]", "\n")
-    t = F.regexp_replace(t, r"[\u00A0\u2007\u202F\u3000]", " ")
-    t = F.regexp_replace(t, r"[\u200B-\u200D\uFEFF\u00AD]", "")
-    df, t = df.withColumn("__t0", t), F.col("__t0")
+    t = F.col(text)
+    plain = F.regexp_replace(t, r"\r\n|[\r\u0085\u2028\u2029\u000B\u000C]", "\n")
+    plain = F.regexp_replace(plain, r"[\u00A0\u2007\u202F\u3000]", " ")
+    plain = F.regexp_replace(plain, r"[\u200B-\u200D\uFEFF\u00AD]", "")
+    rare = t.rlike(r"[\r\u0085\u2028\u2029\u000B\u000C\u00A0\u2007\u202F\u3000\u200B-\u200D\uFEFF\u00AD]")
+    df, t = df.withColumn("__t0", F.when(rare, plain).otherwise(t)), F.col("__t0")
     # letter-spaced text: single letters one blank apart, words several
-    spaced = t.rlike(r"\S {2,9}\S") & (F.length(F.regexp_replace(t, r"\S(?= {1,9}\S\b)", "")) < F.length(t) * 0.62)
+    spaced = t.contains("  ") & t.rlike(r"\S {2,9}\S") & (F.length(F.regexp_replace(t, r"\S(?= {1,9}\S\b)", "")) < F.length(t) * 0.62)
     df = df.withColumn("__t", F.when(spaced, F.regexp_replace(t, r"(?<=\S) (?=\S)", "")).otherwise(t)).drop("__t0")
     df = df.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: F.trim(F.translate(x, "\t", " ")) != ""))
     df = df.withColumn("__w", F.filter(F.split("__t", r"\s+"), lambda x: x != ""))
     # words of letters only, in lower case: one pass over the text, not one over each word
-    df = df.withColumn("__b", F.regexp_replace(F.lower("__t"), r"[^\p{L}\s]", ""))
+    df = df.withColumn("__b", F.split(F.regexp_replace(F.lower("__t"), r"[^\p{L}\s]++", ""), r"\s+"))
+    # what is neither letter nor space
+    df = df.withColumn("__s", F.regexp_replace("__t", r"[\p{L}\s]++", ""))
     d = lambda c: c.cast("double")
     count = lambda pattern, of="__t": d(F.regexp_count(of, F.lit(pattern)))
     words, lines = d(F.size("__w")), d(F.size("__l"))
-    chars = d(F.length(F.regexp_replace("__t", r"\s", "")))
+    chars = d(F.length(F.array_join("__w", "")))
+    digits = count(r"\p{N}", "__s")
     share = lambda array, test: d(F.size(F.filter(array, test)))
     whole = lambda pattern: count(rf"(?<!\S)(?:{pattern})(?!\S)")
-    letters = whole(LETTERS)
+
+    def fields(x: Column) -> Column:
+        found = x.rlike(FIELD_COMMA) | (x.contains("  ") & x.rlike(r"\S {2,}\S"))
+        for sign in FIELD_SIGNS:
+            found = x.contains(sign) | found
+        return found
+
     stats = {
         "n_words": words,
         "n_lines": lines,
         "mean_word_length": chars / words,
-        "symbol_ratio": count(r"[^\p{L}\p{N}\s]") / chars,
-        "digit_ratio": count(r"\p{N}") / chars,
+        "symbol_ratio": (d(F.length("__s")) - digits) / chars,
+        "digit_ratio": digits / chars,
         "end_punctuation_share": share("__l", lambda x: x.rlike(r"[.!?…][\"'”’»)\]]*\s*$")) / lines,
-        "common_word_share": count(rf"(?<!\S){trie_pattern(COMMON_WORDS)}(?!\S)", "__b") / words,
+        "common_word_share": share("__b", lambda x: x.isin(COMMON_WORDS)) / words,
         "words_per_line": words / lines,
         "bullet_line_share": share("__l", lambda x: x.rlike(BULLET)) / lines,
-        "field_line_share": share("__l", lambda x: x.rlike(FIELD)) / lines,
-        "numeric_word_share": count(r"(?<!\S)[^\s\p{N}]*+\p{N}") / words,
+        "field_line_share": share("__l", fields) / lines,
+        # from its first digit to its end each such word is one match
+        "numeric_word_share": count(r"\p{N}\S*+") / words,
         "separator_density": count(r"[,;|•/](?=\s)") / words,
-        "letter_word_share": letters / words,
-        "damage_ratio": count(r"[\uFFFDÃÂ\u0080-\u009F]|ï¿½|[←-⇿▀-◿¤¬§¶†‡]") / chars,
+        "letter_word_share": whole(LETTERS) / words,
+        "damage_ratio": count(r"[\uFFFDÃÂ\u0080-\u009F←-⇿▀-◿¤¬§¶†‡]|ï¿½") / chars,
         "words_per_sentence": words / (F.lit(1.0) + count(r"[.!?…][\"'”’»)]*(?=\s|$)")),
         "longest_word": d(F.array_max(F.transform("__w", lambda x: F.length(x)))),
-        # neither letters, nor a number, nor a mark of layout
-        "odd_word_share": (words - letters - whole(NUMBER) - whole(MARK)) / words,
-        "distinct_word_rate": d(F.size(F.array_distinct(F.split("__b", r"\s+")))) / F.sqrt(words),
+        # neither letters, nor a number, nor a mark of layout: of the three a word is one at most
+        "odd_word_share": (words - whole(f"{LETTERS}|{NUMBER}|{MARK}")) / words,
+        "distinct_word_rate": d(F.size(F.array_distinct("__b"))) / F.sqrt(words),
         "distinct_line_share": d(F.size(F.array_distinct("__l"))) / lines,
     }
-    struct = F.when(F.size("__w") > 0, F.struct(*[stats[s].alias(s) for s in STATISTICS]))
+    struct = F.when(F.size("__w") > 0, F.struct(*[stats[s].alias(s) for s in wanted]))
     # a generated row of one: the optimizer can't copy the statistics into each rule that reads one
-    return df.withColumn("stats", F.explode(F.array(struct))).drop("__t", "__l", "__w", "__b")
+    return df.withColumn("stats", F.explode(F.array(struct))).drop("__t", "__l", "__w", "__b", "__s")
 
 
 Condition = tuple[int, bool, float]  # feature, at least (else below), threshold
@@ -191,8 +186,8 @@ def learned_rules(spark: SparkSession, documents: int = 6000, seed: int = 11) ->
     return _LEARNED[key]
 
 
-def document_kinds(df: DataFrame, text: str = "text", documents: int = 6000) -> DataFrame:
-    """`df` with `stats` and `doc_kind` (prose, list, table or junk; NULL where there are no words)."""
-    return statistics(df, text).withColumn("doc_kind", F.expr(rules_to_case(learned_rules(df.sparkSession, documents))))
-
-
+def document_kinds(df: DataFrame, text: str = "text", documents: int = 6000, wanted: Sequence[str] = ()) -> DataFrame:
+    """`df` with `stats` (the wanted statistics and those the rules read) and `doc_kind` (prose, list, table or junk; NULL where there are no words)."""
+    rules = learned_rules(df.sparkSession, documents)
+    read = {STATISTICS[f] for _, rule in rules for f, _, _ in rule}
+    return statistics(df, text, [s for s in STATISTICS if s in read or s in wanted]).withColumn("doc_kind", F.expr(rules_to_case(rules)))

@@ -111,7 +111,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p10_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """The statistics and the kind of every document; NULL where it has no words."""
-    out = document_kinds(spread(table(spark, folder, "documents").select("doc_id", "text")))
+    out = document_kinds(spread(table(spark, folder, "documents").select("doc_id", "text")), wanted=STATISTICS)
     return out.select("doc_id", *[F.round(F.col(f"stats.{s}"), 6).alias(s) for s in STATISTICS], "doc_kind")
 
 
