@@ -21,7 +21,7 @@ FIELD_COMMA = r"[;,](?:[^\s\d]|(?<=[^\d\s].)\d)"
 # whole words; possessive, so that a word of any length takes linear time
 LETTERS = r"[(\"'“«¿¡]*+\p{L}[\p{L}'’&-]*+[.,;:!?)\"'”»…]*+"
 NUMBER = r"[(\[$€£+\-\"]*+\p{N}[\p{N}.,:/\-]*+[%)\]\".,;:?]*+"
-MARK = r"[^\p{L}\p{N}\s]{1,3}|[-=_.*+|]{4,}+"
+MARK = r"[^\p{L}\p{N}\s]{1,3}|[-=_.*+|]{4,}+|[A-Z]{1,3}[$€£¥]|&(?:[a-zA-Z]+|#[0-9]+);"
 STATISTICS = (
     "n_words", "n_lines", "mean_word_length", "symbol_ratio", "digit_ratio", "end_punctuation_share", "common_word_share", "words_per_line",
     "bullet_line_share", "field_line_share", "numeric_word_share", "separator_density", "letter_word_share", "damage_ratio",
