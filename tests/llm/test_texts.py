@@ -69,6 +69,37 @@ def test_mix_reaches_the_shares_and_keeps_the_caps(spark):
     assert got["none"]["tokens"] == 0
 
 
+def test_mix_with_texts_longer_than_blocks(spark):
+    """A few very long texts in small sources don't spoil the shares; every text is used as often as its source's passes say."""
+    r = random.Random(8)
+    docs, i = [], 0
+    for s, n in (("a", 700), ("b", 150), ("c", 90)):
+        for k in range(n):
+            docs.append((i, s, 6000 if k % 50 == 3 else r.randrange(5, 200)))
+            i += 1
+    shares = {"a": (0.62, 2), "b": (0.3, 4), "c": (0.08, 3)}
+    w = spark.createDataFrame([(s, t, m) for s, (t, m) in shares.items()], "source string, target_share double, max_repeats int")
+    mix, report = mixing.mix_sources(spark.createDataFrame(docs, "doc_id long, source string, n_tokens long"), w, block_tokens=500)
+    for x in report.collect():
+        # two long texts are more than half of c: where one stays out, all short ones can't make up for it
+        assert abs(x["actual_share"] / x["target_share"] - 1) < (0.03 if x["source"] == "c" else 0.01)
+        assert x["most_copies"] <= x["max_repeats"]
+    rows = mix.collect()
+    assert len({(x["doc_id"], x["copy"]) for x in rows}) == len(rows)
+    size = {d: n for d, _, n in docs}
+    assert all(size[x["doc_id"]] == x["n_tokens"] for x in rows)
+    for s in shares:
+        uses = Counter(x["doc_id"] for x in rows if x["source"] == s)
+        assert max(uses.values()) - min(uses.get(d, 0) for d, t, _ in docs if t == s) <= 1
+    # every stretch of the mix has the shares, but for what one block and one long text change
+    half = sorted(rows, key=lambda x: x["slot"])[: len(rows) // 2]
+    tokens = Counter()
+    for x in half:
+        tokens[x["source"]] += x["n_tokens"]
+    for s, (t, _) in shares.items():
+        assert abs(tokens[s] / sum(tokens.values()) - t) < 0.06
+
+
 def test_mix_reports_sources_that_run_out(spark):
     docs = spark.createDataFrame([(i, "ab"[i % 2], 100) for i in range(40)], "doc_id long, source string, n_tokens long")
     w = spark.createDataFrame([("a", 0.9, 1), ("b", 0.1, 1)], "source string, target_share double, max_repeats int")

@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -37,7 +37,7 @@ def token_counter(path: str = RANKS):
     return count
 
 
-def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024, total_tokens: int | None = None) -> tuple[DataFrame, DataFrame]:
+def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024, total_tokens: int | None = None, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
     """A mix in which each source has its target share of the tokens, and the shares reached.
 
     sizes: (doc_id, source, n_tokens), doc_id unique. weights: (source,
@@ -45,54 +45,41 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024,
     mix; by default the largest at which no source needs more than its repeats.
     With a larger one, sources that run out fall short, and the report says so.
 
-    Each source's texts, in a hash order, are cut into blocks of about equal
-    tokens; a text belongs to the block it starts in. Slots 0, 1, 2, ... fall on
-    the sources by a golden-ratio sequence through their cumulative weights, so
-    every stretch of the mix has the target shares. The r-th slot of a source
-    gets its block r modulo its blocks, on pass r div its blocks.
+    Slots 0, 1, 2, ... fall on the sources by a golden-ratio sequence through
+    their cumulative weights, so every stretch of the mix has the target shares.
+    A source's wanted tokens are cut into as many equal blocks as it has slots:
+    its texts in a hash order, pass after pass, are laid along them, and a text
+    belongs to the block it starts in. A last text that is too long is left out;
+    the gap is filled with the texts after it as far as they fit, then, in at
+    most `rounds` rounds, with the largest text not yet used in that pass which
+    fits. So a source misses its share by about its least unused text, not by
+    part of a long one.
 
     Returns (slot, source, doc_id, copy, n_tokens) and (source, target_share,
     actual_share, tokens, texts, most_copies, max_repeats). Rows with a NULL
     source, one without weight, or no tokens aren't used; sources without texts
-    get no slots and actual share 0. Only the weights (one row a source) reach
-    the driver.
+    get no slots and actual share 0. Only sums, one row a source, reach the
+    driver.
     """
     spark = sizes.sparkSession
     usable = sizes.where("n_tokens > 0 and source is not null").join(weights.where("target_share > 0 and max_repeats > 0").select("source"), "source", "left_semi").select("doc_id", "source", "n_tokens")
     usable = cut_lineage(usable, "sizes")
-    totals = {r["source"]: (r["t"], r["n"]) for r in usable.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).collect()}
+    totals = {r["source"]: r["t"] for r in usable.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
     wanted = [(r["source"], float(r["target_share"]), int(r["max_repeats"])) for r in weights.where("target_share > 0 and max_repeats > 0").orderBy("source").collect()]
-    usable_weights = [w for w in wanted if w[0] in totals]
-    mix_schema = "slot long, source string, doc_id long, copy int, n_tokens long"
-    if not usable_weights:
-        mix = spark.createDataFrame([], mix_schema)
+    plan = [w for w in wanted if w[0] in totals]
+    if not plan:
+        mix = spark.createDataFrame([], "slot long, source string, doc_id long, copy int, n_tokens long")
     else:
-        norm = sum(w for _, w, _ in usable_weights)
-        size = total_tokens or min(totals[s][0] * m / (w / norm) for s, w, m in usable_weights)
-        plan, cumulative = [], 0.0
-        for s, w, m in usable_weights:
-            blocks = max(1, round(totals[s][0] / block_tokens))
-            plan.append([s, blocks, totals[s][0] / blocks, m, (w / norm) * size * blocks / totals[s][0]])
-        n_slots = max(1, round(sum(p[4] for p in plan)))
-        edges = []
-        for p in plan:
-            cumulative += p[4]
-            edges.append(min(PERIOD, round(PERIOD * cumulative / sum(q[4] for q in plan))))
-        edges[-1] = PERIOD
-        names = F.array(*[F.lit(p[0]) for p in plan])
-        point = F.expr(f"pmod(pmod(id, {PERIOD}) * {GOLDEN}, {PERIOD})")
-        slots = spark.range(n_slots).withColumn("p", point)
-        slots = slots.select(F.col("id").alias("slot"), F.get(names, F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col("p")))).alias("source"))
-        # rank within the source: within stretches of slots first, then the stretches' offsets
-        slots = slots.withColumn("stretch", F.floor(F.col("slot") / 65536))
-        counts = slots.groupBy("source", "stretch").count()
-        counts = counts.withColumn("before", F.coalesce(F.sum("count").over(Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-        slots = slots.withColumn("r", F.row_number().over(Window.partitionBy("source", "stretch").orderBy("slot")) - 1).join(counts, ["source", "stretch"])
-        facts = spark.createDataFrame([(p[0], p[1], float(p[2]), p[3]) for p in plan], "source string, blocks long, width double, max_repeats int")
-        slots = slots.withColumn("r", F.col("r") + F.col("before")).join(F.broadcast(facts), "source")  # one row a source
-        slots = slots.select("slot", "source", F.pmod("r", "blocks").alias("block"), F.floor(F.col("r") / F.col("blocks")).cast("int").alias("pass"), "max_repeats").where("pass < max_repeats")
-        blocks = _starts(usable).join(F.broadcast(facts), "source").select("source", "doc_id", "n_tokens", F.least(F.floor(F.col("start") / F.col("width")), F.col("blocks") - 1).alias("block"))
-        mix = slots.join(blocks, ["source", "block"]).select("slot", "source", "doc_id", (F.col("pass") + 1).cast("int").alias("copy"), "n_tokens")
+        norm = sum(w for _, w, _ in plan)
+        size = total_tokens or min(totals[s] * m / (w / norm) for s, w, m in plan)
+        asked = {s: min(round(w / norm * size), totals[s] * m) for s, w, m in plan}
+        slots = _schedule(spark, [(s, w / norm) for s, w, _ in plan], max(1, round(size / block_tokens)))
+        uses = _uses(usable, asked, totals, rounds)
+        number = slots.groupBy("source").agg(F.count("*").alias("slots"))
+        # a source may be too small for a slot of its own: its texts go to the first
+        placed = uses.join(F.broadcast(number), "source", "left")  # one row a source
+        placed = placed.withColumn("r", F.least(F.floor(F.col("x") * F.col("slots") / F.col("asked")), F.col("slots") - 1))
+        mix = placed.join(slots, ["source", "r"], "left").select(F.coalesce("slot", F.lit(0)).alias("slot"), "source", "doc_id", "copy", "n_tokens")
     used = mix.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("texts"), F.max("copy").alias("most_copies"))
     share = F.col("tokens") / F.nullif(F.sum("tokens").over(Window.partitionBy(F.lit(0))), F.lit(0))  # one row a source
     report = weights.join(used, "source", "left").fillna(0, ["tokens", "texts", "most_copies"])
@@ -100,6 +87,64 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024,
     return mix, report
 
 
+def _schedule(spark: SparkSession, shares: list[tuple[str, float]], n: int) -> DataFrame:
+    """(slot, source, r): n slots dealt by the golden ratio; r counts a source's slots."""
+    edges, upto = [], 0.0
+    for _, share in shares:
+        upto += share
+        edges.append(min(PERIOD, round(PERIOD * upto)))
+    edges[-1] = PERIOD
+    names = F.array(*[F.lit(s) for s, _ in shares])
+    slots = spark.range(n).withColumn("p", F.expr(f"pmod(pmod(id, {PERIOD}) * {GOLDEN}, {PERIOD})"))
+    slots = slots.select(F.col("id").alias("slot"), F.get(names, F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col("p")))).alias("source"))
+    # within stretches of slots first, then the stretches' offsets
+    slots = slots.withColumn("stretch", F.floor(F.col("slot") / 65536))
+    counts = slots.groupBy("source", "stretch").count()
+    counts = counts.withColumn("before", F.coalesce(F.sum("count").over(Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
+    slots = slots.withColumn("r", F.row_number().over(Window.partitionBy("source", "stretch").orderBy("slot")) - 1).join(counts, ["source", "stretch"])
+    return slots.select("slot", "source", (F.col("r") + F.col("before")).alias("r"))
+
+
+def _uses(usable: DataFrame, asked: dict[str, int], totals: dict[str, int], rounds: int) -> DataFrame:
+    """(source, doc_id, n_tokens, copy, x, asked): each use of a text with its first token among those the source is asked for."""
+    spark = usable.sparkSession
+    facts = spark.createDataFrame([(s, a, totals[s]) for s, a in asked.items()], "source string, asked long, total long")
+    laid = cut_lineage(_starts(usable).join(F.broadcast(facts), "source"), "laid")  # one row a source
+    whole = F.expr("asked div total")
+    laid = laid.withColumn("fits", F.expr("start + n_tokens <= asked % total"))
+    spare = laid.where("not fits and asked % total > 0")
+    gaps = {s: a % totals[s] for s, a in asked.items() if a % totals[s]}
+    for r in laid.where("fits").groupBy("source").agg(F.sum("n_tokens").alias("t")).collect():
+        gaps[r["source"]] -= r["t"]
+    still = lambda: F.broadcast(spark.createDataFrame([(s, g) for s, g in gaps.items() if g > 0], "source string, gap long"))  # noqa: E731, one row a source
+    picked = spare.select("source", "doc_id", "n_tokens").where("false")
+    if any(g > 0 for g in gaps.values()):
+        # the texts after the one that was too long, as far as they fit: a range of tokens that one long text bounds
+        near = spare.join(still(), "source").where("n_tokens <= gap and start < asked % total + 64 * gap")
+        upto = F.sum("n_tokens").over(Window.partitionBy("source").orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+        picked = cut_lineage(near.withColumn("upto", upto).where("upto <= gap").select("source", "doc_id", "n_tokens"), "picked")
+        for r in picked.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect():
+            gaps[r["source"]] -= r["t"]
+    taken: list[tuple[str, int, int]] = []
+    one_by_one = lambda: spark.createDataFrame(taken, "source string, doc_id long, n_tokens long")  # noqa: E731, at most a row a source and round
+    for _ in range(rounds):
+        if not any(g > 0 for g in gaps.values()):
+            break
+        left = spare.join(still(), "source").where("n_tokens <= gap").join(picked.unionByName(one_by_one()).select("doc_id"), "doc_id", "left_anti")
+        found = left.groupBy("source").agg(F.max(F.struct("n_tokens", "doc_id")).alias("x")).select("source", "x.*").collect()
+        if not found:
+            break
+        for r in found:
+            gaps[r["source"]] -= r["n_tokens"]
+            taken.append((r["source"], r["doc_id"], r["n_tokens"]))
+    columns = ["source", "doc_id", "n_tokens", "asked"]
+    passes = F.when(F.col("fits"), whole + 1).otherwise(whole)
+    out = laid.where(passes > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), passes))).select(*columns, F.col("copy").cast("int").alias("copy"), ((F.col("copy") - 1) * F.col("total") + F.col("start")).alias("x"))
+    filled = spare.join(picked.unionByName(one_by_one()).select("doc_id"), "doc_id", "left_semi")
+    out = out.unionByName(filled.select(*columns, (whole + 1).cast("int").alias("copy"), (F.col("asked") - 1).alias("x")))
+    return out
+
+
 def _starts(usable: DataFrame, buckets: int = 256) -> DataFrame:
     """Each text's first token in its source's hash order: sums within hash buckets, then the buckets' offsets."""
     d = usable.withColumn("h", F.xxhash64("doc_id", F.lit(17))).withColumn("hb", F.pmod("h", F.lit(buckets)))
