@@ -47,14 +47,13 @@ def test_coverage_of_every_record_and_on_average(spark):
 
 
 def test_shares_and_repeats_of_the_mix(spark):
-    mix, shares = queries.p9_mix(spark, FOLDER).collect(), queries.p9_shares(spark, FOLDER).collect()
-    docs = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    mix, shares = queries.p9_mix(spark, folder).collect(), queries.p9_shares(spark, folder).collect()
+    docs = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     assert all(docs[r["doc_id"]] == r["source"] for r in mix)
     assert len({(r["doc_id"], r["copy"]) for r in mix}) == len(mix)
     caps = {r["source"]: r["max_repeats"] for r in shares}
     assert all(1 <= r["copy"] <= caps[r["source"]] for r in mix)
     assert sum(r["tokens"] for r in shares) == sum(r["n_tokens"] for r in mix)
-    for r in shares:
-        if r["tokens"]:
-            # a source of the smallest tables is a handful of texts
-            assert abs(r["actual_share"] - r["target_share"]) <= max(0.02 * r["target_share"], 0.004)
+    # the smallest sources are about ten texts here
+    assert all(abs(r["actual_share"] / r["target_share"] - 1) < 0.05 for r in shares)

@@ -6,7 +6,9 @@ other_language or truncated, looked for in this order.
 
 from __future__ import annotations
 
+import heapq
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -19,7 +21,12 @@ from tidemark.llm.labelled import COMMON
 PLACEHOLDERS = {"null", "none", "nan", "n/a", "na", "nil", "tbd", "todo", "undefined", "empty", "no answer", "no response", "error", "-", "--", "...", "?"}
 OPEN, CLOSE = "([{“„«‹", ")]}”“»›"
 PAIRS = {"(": ")", "[": "]", "{": "}", "“": "”", "„": "“”", "«": "»", "‹": "›"}
-QUOTED = re.compile(r'"[^"\n]{0,400}"|“[^”\n]{0,400}”|„[^“”\n]{0,400}[“”]|«[^»\n]{0,400}»')
+QUOTED = re.compile(r'"[^"\n]*"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»')
+# signs that don't show, and letters outside the Latin ones
+HIDDEN = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Cf", "Cc") and chr(c) not in "\n\t\r") + "]")
+FOREIGN = re.compile(r"[^\W\d_\u0000-\u024f]")
+# what the parser looks at: list marks, fences, emphasis, tags, quotation marks and brackets
+TOKEN = re.compile(r"(?P<mark>(?<![^\n ])(?:\(?\d{1,2}|\(?[a-z])\)\s)|```|\*\*|<(?P<end>/?)(?P<tag>[a-zA-Z]\w*)[^<>]*>|[\"(\[{“„«‹)\]}”»›]")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
 # Refusal grammars: who declines, how, and what; a sentence with all three in order is a refusal.
@@ -61,17 +68,23 @@ OTHERS = [
 REFUSAL = re.compile("|".join(f"(?:{p})" for p in ENGLISH + OTHERS), re.IGNORECASE)
 SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+")
 LANGUAGES = {lang: set(words.split()) for lang, words in COMMON.items()}
+# a word of several languages counts for each in part
+WEIGHTS = {w: [(lang, 1 / sum(w in known for known in LANGUAGES.values())) for lang, known in LANGUAGES.items() if w in known] for known in LANGUAGES.values() for w in known}
 SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARABIC", "HEBREW", "CJK", "HIRAGANA", "KATAKANA", "HANGUL", "THAI", "DEVANAGARI")
 
 
 def visible(text: str | None) -> str:
     """The text without blanks at its ends and without signs that don't show."""
-    return "".join(c for c in text or "" if unicodedata.category(c) not in ("Cf", "Cc") or c in "\n\t\r").replace(" ", " ").strip()
+    text = text or ""
+    # plain text, as nearly all is, needs no look at each sign
+    if not (text.isascii() and text.replace("\n", "").isprintable()):
+        text = HIDDEN.sub("", text).replace("\u00a0", " ")
+    return text.strip()
 
 
 def is_empty(text: str | None) -> bool:
     t = visible(text)
-    return not any(c.isalnum() for c in t) or t.strip(" .\"'`()[]{}<>").lower() in PLACEHOLDERS
+    return not re.search(r"[^\W_]", t) or t.strip(" .\"'`()[]{}<>").lower() in PLACEHOLDERS
 
 
 def is_refusal(text: str) -> bool:
@@ -80,52 +93,63 @@ def is_refusal(text: str) -> bool:
 
 
 def tiled(a: list[str], b: list[str], least: int = 5) -> int:
-    """Words of `a` covered by greedy string tiling with `b`: the longest common runs first, none shorter than `least`, no word twice."""
+    """Words of `a` covered by greedy string tiling with `b`: the longest common runs first, of equal ones the first, none shorter than `least`, no word twice.
+
+    Each maximal run is found once, from the hashed runs of `least` words; one
+    that an earlier tile cut goes back into the heap as what is left of it.
+    """
     starts: dict[tuple, list[int]] = {}
     for j in range(len(b) - least + 1):
         starts.setdefault(tuple(b[j : j + least]), []).append(j)
-    if not any(tuple(a[i : i + least]) in starts for i in range(len(a) - least + 1)):
-        return 0
-    used_a, used_b, covered = [False] * len(a), [False] * len(b), 0
-    while True:
-        best = (0, 0, 0)
-        i = 0
-        while i + least <= len(a):
-            step = 1
-            if not used_a[i]:
-                for j in starts.get(tuple(a[i : i + least]), ()):
-                    k = 0
-                    while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
-                        k += 1
-                    if k > best[0]:
-                        best = (k, i, j)
-                        step = max(step, k - least + 1)
-            i += step
-        k, i, j = best
-        if k < least:
-            return covered
-        for x in range(k):
-            used_a[i + x] = used_b[j + x] = True
-        covered += k
+    heap = []
+    for i in range(len(a) - least + 1):
+        for j in starts.get(tuple(a[i : i + least]), ()):
+            if i and j and a[i - 1] == b[j - 1]:
+                continue
+            k = least
+            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                k += 1
+            heap.append((-k, i, j))
+    heapq.heapify(heap)
+    used_a, used_b, covered = bytearray(len(a)), bytearray(len(b)), 0
+    while heap:
+        k, i, j = heapq.heappop(heap)
+        k = -k
+        if not any(used_a[i : i + k]) and not any(used_b[j : j + k]):
+            used_a[i : i + k] = used_b[j : j + k] = b"\1" * k
+            covered += k
+            continue
+        free = 0
+        for x in range(k + 1):
+            if x < k and not used_a[i + x] and not used_b[j + x]:
+                free += 1
+                continue
+            if free >= least:
+                heapq.heappush(heap, (-free, i + x - free, j + x - free))
+            free = 0
+    return covered
 
 
 def is_copy(answer: str, prompt: str, share: float = 0.6) -> bool:
     """Whether most of the answer is taken from the prompt and most of what the prompt says is in it."""
-    a, b = [w.lower() for w in re.findall(r"\w+", answer)], [w.lower() for w in re.findall(r"\w+", prompt)]
+    a, b = re.findall(r"\w+", answer.lower()), re.findall(r"\w+", prompt.lower())
     if len(a) < 5 or not b:
         return False
-    covered = tiled(a, b)
-    return covered >= share * len(a) and covered >= share * len(b)
+    least, known = share * max(len(a), len(b)), set(b)
+    # tiles cover no other words than those in both
+    return sum(w in known for w in a) >= least and tiled(a, b) >= least
 
 
 def script_of(text: str) -> str | None:
     """The script most letters are in."""
-    counts: dict[str, int] = {}
-    for c in text:
-        if c.isalpha():
-            name = "LATIN" if c < "ɐ" else unicodedata.name(c, "").split(" ")[0]
-            counts[name] = counts.get(name, 0) + 1
-    return max(counts, key=lambda s: (counts[s], s)) if counts else None
+    foreign = FOREIGN.findall(text)
+    if not foreign:
+        return "LATIN" if any(map(str.isalpha, text)) else None
+    counts: dict[str, int] = {"LATIN": sum(map(str.isalpha, text)) - len(foreign)}
+    for c in foreign:
+        name = "LATIN" if c < "ɐ" else unicodedata.name(c, "").split(" ")[0]
+        counts[name] = counts.get(name, 0) + 1
+    return max(counts, key=lambda s: (counts[s], s))
 
 
 def language_of(text: str) -> str | None:
@@ -134,12 +158,13 @@ def language_of(text: str) -> str | None:
     script = script_of(own)
     if script and script != "LATIN":
         return script
-    words = [w.lower() for w in WORD.findall(own)]
-    parts = [p for w in words for p in ([w] if "'" not in w and "’" not in w else [*re.split("['’]", w)])]
-    # a word of several languages counts for each in part
-    weight = {w: 1 / n for w in set(parts) if (n := sum(w in known for known in LANGUAGES.values()))}
-    scores = sorted(((sum(weight[w] for w in parts if w in known), lang) for lang, known in LANGUAGES.items()), reverse=True)
-    (first, lang), (second, _) = scores[0], scores[1]
+    scores = dict.fromkeys(LANGUAGES, 0.0)
+    for word in WORD.findall(own.lower()):
+        for part in (word,) if word.isalpha() else re.split("['’]", word):
+            for lang, weight in WEIGHTS.get(part, ()):
+                scores[lang] += weight
+    ranked = sorted(((v, lang) for lang, v in scores.items()), reverse=True)
+    (first, lang), (second, _) = ranked[0], ranked[1]
     return lang if first >= 1.5 and first >= 1.2 * second + 0.5 else None
 
 
@@ -150,61 +175,49 @@ def is_truncated(text: str) -> bool:
     """Whether the text breaks off: a fence, bracket, quotation, emphasis or tag stays open, a list mark has no item, or the last sentence doesn't end.
 
     One pass with a stack over fences, brackets, quotations, `**` and the tags
-    that begin a line; list marks like `1)` and `a)` close nothing, and what is
-    inside a fence isn't parsed.
+    that begin a line; list marks like `1)` and `a)` close nothing, a `"` after
+    a digit with no quotation open is an inch mark, and what is inside a fence
+    isn't parsed.
     """
-    t = visible(text).rstrip()
+    t = visible(text)
     stack: list[str] = []
-    i, start_of_line = 0, True
-    while i < len(t):
-        c = t[i]
-        if t.startswith("```", i):
+
+    def close(name: str) -> None:
+        """Take the innermost `name` off the stack; what is open inside it stays open."""
+        stack.reverse()
+        stack.remove(name)
+        stack.reverse()
+
+    for m in TOKEN.finditer(t):
+        c, i = m[0], m.start()
+        if c == "```":
             if stack and stack[-1] == "```":
                 stack.pop()
             else:
                 stack.append("```")
-            i += 3
-            continue
-        if stack and stack[-1] == "```":
-            i += 1
+        elif (stack and stack[-1] == "```") or m["mark"]:
             continue
-        if start_of_line or (i and t[i - 1] == " "):
-            mark = re.match(r"(?:\(?\d{1,2}|\(?[a-z])\)\s", t[i : i + 6])
-            if mark:
-                i += mark.end()
-                continue
-        tag = re.match(r"<(/?)([a-zA-Z]\w*)[^<>]*>", t[i : i + 200]) if c == "<" else None
-        if tag:
-            name = "<" + tag[2].lower()
-            if tag[1] and name in stack:
-                # what is open inside the tag stays open
-                stack.reverse()
-                stack.remove(name)
-                stack.reverse()
-            elif not tag[1] and not t[t.rfind("\n", 0, i) + 1 : i].strip() and not tag[0].endswith("/>") and name[1:] not in UNCLOSED:
+        elif m["tag"]:
+            name = "<" + m["tag"].lower()
+            if m["end"]:
+                if name in stack:
+                    close(name)
+            elif not t[t.rfind("\n", 0, i) + 1 : i].strip() and not c.endswith("/>") and name[1:] not in UNCLOSED:
                 stack.append(name)
-            i += tag.end()
-            continue
-        if t.startswith("**", i):
+        elif c == "**":
             if "**" in stack and i and not t[i - 1].isspace():
-                stack.reverse()
-                stack.remove("**")
-                stack.reverse()
+                close("**")
             elif (not i or not t[i - 1].isalnum()) and i + 2 < len(t) and not t[i + 2].isspace() and t[i + 2] != "*":
                 stack.append("**")
-            i += 2
-            continue
-        if c == '"':
+        elif c == '"':
             if stack and stack[-1] == '"':
                 stack.pop()
-            else:
+            elif '"' in stack or not i or not t[i - 1].isdigit():
                 stack.append('"')
         elif stack and c in PAIRS.get(stack[-1], ""):
             stack.pop()
         elif c in PAIRS:
             stack.append(c)
-        start_of_line = c == "\n"
-        i += 1
     if stack:
         return True
     if t.endswith("```"):
@@ -216,14 +229,23 @@ def is_truncated(text: str) -> bool:
         return False
     if re.search(r"(?:\.\.+|…)$", body):
         return True
-    return body[-1] not in ".!?:。！？" or bool(re.search(r":$", body))
+    return body[-1] not in ".!?。！？"
 
 
-def defect(answer: str | None, prompt: str | None) -> str | None:
-    """The kind of defect, or None. Without a prompt, copies and other languages can't be told and aren't reported."""
-    if is_empty(answer):
-        return "empty"
+def defect(answer: str | None, prompt: str | None, error: str | None = None, action: str | None = None) -> str | None:
+    """The kind of defect, or None.
+
+    An answer that is nothing but the error's message is empty; one that is
+    nothing but the action given is a short answer. Without a prompt, copies
+    and other languages can't be told and aren't reported.
+    """
     text = visible(answer)
+    if is_empty(text):
+        return "empty"
+    if error and text.casefold() == visible(error).casefold():
+        return "empty"
+    if action and text.strip(".!").casefold() == visible(action).casefold():
+        return None
     if is_refusal(text):
         return "refusal"
     if prompt and is_copy(text, prompt):
@@ -235,15 +257,17 @@ def defect(answer: str | None, prompt: str | None) -> str | None:
     return "truncated" if is_truncated(text) else None
 
 
-def defective_pairs(df: DataFrame, key: str, prompt: str, answer: str) -> DataFrame:
-    """(key, defect_type): the rows of `df` whose answer is none. Repeated rows each come out."""
+def defective_pairs(df: DataFrame, key: str, prompt: str, answer: str, error: str | None = None, action: str | None = None) -> DataFrame:
+    """(key, defect_type): the rows of `df` whose answer is none, read with their error and action if these columns are named. Repeated rows each come out."""
     kind = df.schema[key].dataType.simpleString()
+    text = lambda v: v if isinstance(v, str) else None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            found = [defect(a if isinstance(a, str) else None, p if isinstance(p, str) else None) for p, a in zip(f["p"], f["a"], strict=True)]
+            found = [defect(*map(text, row)) for row in zip(f["a"], f["p"], f["e"], f["act"], strict=True)]
             out = pd.DataFrame({"key": f["k"], "defect_type": found})
             yield out[out["defect_type"].notna()]
 
-    rows = df.selectExpr(f"`{key}` as k", f"`{prompt}` as p", f"`{answer}` as a")
+    column = lambda c: "cast(null as string)" if c is None else f"`{c}`"
+    rows = df.selectExpr(f"`{key}` as k", f"`{prompt}` as p", f"`{answer}` as a", f"{column(error)} as e", f"{column(action)} as act")
     return rows.mapInPandas(run, f"key {kind}, defect_type string").withColumnRenamed("key", key)

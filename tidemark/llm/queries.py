@@ -87,7 +87,7 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return defective_pairs(spread(table(spark, folder, "baseline_results").select("result_id", "prompt", "reasoning")), "result_id", "prompt", "reasoning")
+    return defective_pairs(spread(table(spark, folder, "baseline_results").select("result_id", "prompt", "reasoning", "error", "predicted_action")), "result_id", "prompt", "reasoning", "error", "predicted_action")
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
