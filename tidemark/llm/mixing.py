@@ -109,7 +109,8 @@ def _uses(usable: DataFrame, asked: dict[str, int], totals: dict[str, int], roun
     """(source, doc_id, n_tokens, copy, x, asked): each use of a text with its first token among those the source is asked for."""
     spark = usable.sparkSession
     facts = spark.createDataFrame([(s, a, totals[s]) for s, a in asked.items()], "source string, asked long, total long")
-    laid = cut_lineage(_starts(usable).join(F.broadcast(facts), "source"), "laid")  # one row a source
+    rows = usable.count()
+    laid = cut_lineage(_starts(usable, max(256, rows // 500_000)).join(F.broadcast(facts), "source"), "laid")  # one row a source
     whole = F.expr("asked div total")
     laid = laid.withColumn("fits", F.expr("start + n_tokens <= asked % total"))
     spare = laid.where("not fits and asked % total > 0")

@@ -99,7 +99,7 @@ def assign_splits(groups: DataFrame, group: str, size: str, shares: Mapping[str,
                 rows.append((s, start, start + k, n))
             start += k
     places = spark.createDataFrame(rows, "s long, lo long, hi long, split string")
-    placed = ranked(groups, ["s"], ["g"], "r").join(places, "s").where("r >= lo and r < hi")
+    placed = ranked(groups, ["s"], ["g"], "r", max(256, sum(n for _, n in histogram) // 500_000)).join(places, "s").where("r >= lo and r < hi")
     return placed.select(F.col("g").alias(group), "split")
 
 
@@ -135,12 +135,14 @@ def example_issuers(examples: DataFrame, tickers: DataFrame) -> DataFrame:
         .groupBy("key")
         .agg(F.min("issuer").alias("issuer"))
     )
+    lookup = cut_lineage(lookup, "symbols")
     prompt = user_message()
-    keys = F.array(
-        F.concat(F.lit("s"), symbol_key("metadata.ticker")),
-        F.concat(F.lit("s"), symbol_key(F.nullif(F.regexp_extract(prompt, HEADING, 1), F.lit("")))),
-        F.concat(F.lit("n"), name_key(F.nullif(F.regexp_extract(prompt, HEADING, 2), F.lit("")))),
+    asked = examples.select(
+        "example_id",
+        F.concat(F.lit("s"), symbol_key("metadata.ticker")).alias("k0"),
+        F.concat(F.lit("s"), symbol_key(F.nullif(F.regexp_extract(prompt, HEADING, 1), F.lit("")))).alias("k1"),
+        F.concat(F.lit("n"), name_key(F.nullif(F.regexp_extract(prompt, HEADING, 2), F.lit("")))).alias("k2"),
     )
-    asked = examples.select("example_id", F.posexplode(keys).alias("way", "key"))
-    found = asked.join(lookup, "key", "left")
-    return found.groupBy("example_id").agg(F.min_by("issuer", F.when(F.col("issuer").isNotNull(), F.col("way"))).cast("int").alias("ticker_id"))
+    for i in range(3):
+        asked = asked.join(lookup.select(F.col("key").alias(f"k{i}"), F.col("issuer").alias(f"i{i}")), f"k{i}", "left")
+    return asked.groupBy("example_id").agg(*[F.min(f"i{i}").alias(f"i{i}") for i in range(3)]).select("example_id", F.coalesce("i0", "i1", "i2").cast("int").alias("ticker_id"))
