@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scoring as sc
-from tidemark.operators.tables import absent, cascade_counts, latest_by, upsert
+from tidemark.operators.tables import absent, cascade_counts, delete_cascade, delete_old, latest_by, merge_rows, replace_table, upsert
 from tidemark.sources import normalise as nz
+from tidemark.sources import records
 from tidemark.sources.files import read_jsonl, write_jsonl, write_partitioned, write_report
 from tidemark.sources.paged import PagedSource
 from tidemark.streaming.streams import first_seen, weekly_bars
@@ -107,6 +108,40 @@ def test_set_based_writes(spark):
     assert absent(new.where("false"), old, ["k", "s"], ["i"]).count() == 0
 
 
+def test_writes_are_read_back(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    spark.createDataFrame([(1, True), (2, False), (3, None)], "k int, active boolean").write.parquet(at("p"))
+    spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (2, None), (None, "2020-01-01")], "k int, day string").write.parquet(at("c"))
+    got = {r["child"]: (r["deleted"], r["kept"]) for r in delete_cascade(spark, at("p"), {"c": at("c")}, "k", ~F.col("active")).collect()}
+    assert got == {"c": (2, 2)}
+    assert {r["k"] for r in spark.read.parquet(at("p")).collect()} == {1, 3}
+    assert {(r["k"], r["day"]) for r in spark.read.parquet(at("c")).collect()} == {(1, "2024-01-01"), (None, "2020-01-01")}
+    assert delete_old(spark, {"c": (at("c"), F.col("day") < "2021")}).first().asDict() == {"name": "c", "deleted": 1, "kept": 1}
+    assert [r["k"] for r in spark.read.parquet(at("c")).collect()] == [1]
+    stored = spark.createDataFrame([(1, "a", 5), (2, "b", 9)], "k int, v string, at int")
+    replace_table(stored, at("u"))
+    incoming = spark.createDataFrame([(2, "c", 1), (2, "d", 2), (3, None, 1)], "k int, v string, at int")
+    replace_table(merge_rows(spark.read.parquet(at("u")), incoming, ["k"], ["at"]), at("u"))
+    assert {(r["k"], r["v"]) for r in spark.read.parquet(at("u")).collect()} == {(1, "a"), (2, "d"), (3, None)}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["c", "p", "u"]
+
+
+def test_records_from_json(spark):
+    lines = lambda *v: spark.createDataFrame([(x,) for x in v], "value string")
+    bars = records.bars_of(lines('{"date": "2024-01-02", "open": 1, "high": "2", "close": "x", "volume": 7.9}', '{"date": "soon"}', "junk", '{"date": "2025-01-02"}'), "abc.US", "2024-01-01", "2024-12-31").collect()
+    assert [(r["symbol"], str(r["date"]), r["open"], r["high"], r["close"], r["volume"]) for r in bars] == [("ABC", "2024-01-02", 1.0, 2.0, None, 7)]
+    ind = records.indicators_of(lines('{"date": "2024-01-02", "sma": 1.5, "ema": null, "rsi": "n/a"}', '{"sma": 2}'), "abc").collect()
+    assert [(r["indicator"], r["value"]) for r in ind] == [("sma", 1.5)]
+    nested = '{"Highlights": {"MarketCapitalization": "150000000000", "PERatio": "28.5"}, "Financials": {"Balance_Sheet": {"quarterly": {"2024-03-31": {"filing_date": "2024-05-01", "cash": "40000000000"}}}, "Income_Statement": {"quarterly": {"2024-03-31": {"totalRevenue": "9"}}}}}'
+    filings = records.filings_of(spark.createDataFrame([("abc", nested), ("bad", "{")], "symbol string, value string"), "2024-01-01", "2024-12-31").collect()
+    assert [(r["symbol"], r["market_cap"], r["pe_ratio"], r["cash_and_equivalents"], r["revenue"]) for r in filings] == [("ABC", 150000000000, 28.5, 40000000000, 9)]
+    trades = records.insider_trades_of(lines('{"code": "ABC", "date": "2024-01-02", "transactionCode": "sale", "transactionAmount": "12"}', '{"code": "XYZ"}', "{}"), "ABC").collect()
+    assert [(r["code"], r["kind"], r["shares"], r["price"]) for r in trades] == [("ABC", "S", 12, None)]
+    macro = records.macro_of(lines('{"CountryCode": "USA", "Indicator": "gdp", "Date": "2024-01-01", "Value": 3}', '{"CountryCode": "USA", "Indicator": "cpi", "Date": "2024-01-01", "Value": 3}', '{"CountryCode": "USA", "Indicator": "gdp", "Date": "2024-04-01"}'), "USA", "gdp").collect()
+    assert [(r["series_id"], r["value"]) for r in macro] == [("USA.gdp", 3.0)]
+    assert records.bars_of(lines("x").where("false"), "a").count() == 0
+
+
 def test_scoring_rules(spark):
     df = spark.createDataFrame([("BUY", 2.0), ("strong buy", 2.9), ("Sell ", -2.0), ("hold", 2.5), ("chhold", 0.0)], "a string, x double")
     df = df.withColumn("c", sc.clean_action("a"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,3 +55,48 @@ def retention_counts(tables: Mapping[str, tuple[DataFrame, Column]]) -> DataFram
         part = df.agg(F.count_if(old).alias("deleted"), F.count_if(~F.coalesce(old, F.lit(False))).alias("kept")).withColumn("name", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """`df`, which may read the table at `path`, written in its place: first beside it, then renamed, so a job that fails leaves the old table."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    new, old = f"{path}-new-{uuid.uuid4().hex}", f"{path}-old-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(at(path))
+    if had and not fs.rename(at(path), at(old)):
+        raise OSError(f"{path} can't be moved")
+    if not fs.rename(at(new), at(path)):
+        if had:
+            fs.rename(at(old), at(path))
+        raise OSError(f"{new} can't be moved")
+    if had:
+        fs.delete(at(old), True)
+    spark.catalog.refreshByPath(path)
+
+
+def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """`existing` with the rows of `incoming` in place of those of the same key: on a conflict the incoming row wins, of several the last by `order`."""
+    both = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)))
+    return latest_by(both, keys, ["__new", *order]).drop("__new")
+
+
+def delete_cascade(spark: SparkSession, parent: str, children: Mapping[str, str], key: str, gone: Column) -> DataFrame:
+    """Delete the parent rows for which `gone` is true and all rows that refer to them from the tables at these paths; returns (child, deleted, kept)."""
+    parents = spark.read.parquet(parent)
+    leaving = parents.where(gone).select(key).distinct()
+    counts = cascade_counts(parents.where(gone), key, {n: spark.read.parquet(p) for n, p in children.items()}).collect()  # a row a table
+    for path in children.values():
+        replace_table(spark.read.parquet(path).join(leaving, key, "left_anti"), path)
+    replace_table(parents.where(~F.coalesce(gone, F.lit(False))), parent)
+    return spark.createDataFrame(counts)
+
+
+def delete_old(spark: SparkSession, tables: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """Delete from each table at a path the rows its test finds too old; returns (name, deleted, kept). A NULL test keeps."""
+    counts = retention_counts({n: (spark.read.parquet(p), old) for n, (p, old) in tables.items()}).collect()  # a row a table
+    for path, old in tables.values():
+        replace_table(spark.read.parquet(path).where(~F.coalesce(old, F.lit(False))), path)
+    return spark.createDataFrame(counts)

@@ -1,7 +1,8 @@
 """A source of records that come in pages, as a Python data source.
 
 Pages are partitions: each is fetched by a task, with retries and growing
-pauses, and a page that is short ends its run. What fetches a page is given by
+pauses, and a page that is short ends its run. `maxpages` is a limit asked for;
+without it a source that doesn't end within a million pages is an error. What fetches a page is given by
 name, `module:function`, and called with (page, page_size); it returns a list
 of dicts. No network client is part of this library.
 """
@@ -26,6 +27,7 @@ class PagedReader(DataSourceReader):
         self.fetch = options["fetch"]
         self.size = int(options.get("pagesize", 1000))
         self.pages = int(options.get("maxpages", 1_000_000))
+        self.limited = "maxpages" in options
         self.tasks = int(options.get("tasks", 1))
         self.tries = int(options.get("tries", 4))
         self.pause = float(options.get("pause", 1.0))
@@ -43,6 +45,8 @@ class PagedReader(DataSourceReader):
                 yield tuple(row.get(n) for n in self.names)
             if len(rows) < self.size:
                 return
+        if partition.last == self.pages and not self.limited:
+            raise RuntimeError(f"no end within {self.pages} pages; set maxpages to stop there")
 
     def _retried(self, fetch, page: int) -> list[dict]:
         for attempt in range(self.tries):
