@@ -37,7 +37,7 @@ def token_counter(path: str = RANKS):
     return count
 
 
-def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024, total_tokens: int | None = None, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024, total_tokens: int | None = None, rounds: int = 8, close: float = 0.002) -> tuple[DataFrame, DataFrame]:
     """A mix in which each source has its target share of the tokens, and the shares reached.
 
     sizes: (doc_id, source, n_tokens), doc_id unique. weights: (source,
@@ -52,8 +52,9 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024,
     belongs to the block it starts in. A last text that is too long is left out;
     the gap is filled with the texts after it as far as they fit, then, in at
     most `rounds` rounds, with the largest text not yet used in that pass which
-    fits. So a source misses its share by about its least unused text, not by
-    part of a long one.
+    fits, until what is missing is less than the part `close` of the source's
+    tokens. So a source misses its share by that or by its least unused text,
+    not by part of a long one.
 
     Returns (slot, source, doc_id, copy, n_tokens) and (source, target_share,
     actual_share, tokens, texts, most_copies, max_repeats). Rows with a NULL
@@ -74,7 +75,7 @@ def mix_sources(sizes: DataFrame, weights: DataFrame, block_tokens: int = 1024,
         size = total_tokens or min(totals[s] * m / (w / norm) for s, w, m in plan)
         asked = {s: min(round(w / norm * size), totals[s] * m) for s, w, m in plan}
         slots = _schedule(spark, [(s, w / norm) for s, w, _ in plan], max(1, round(size / block_tokens)))
-        uses = _uses(usable, asked, totals, rounds)
+        uses = _uses(usable, asked, totals, rounds, close)
         number = slots.groupBy("source").agg(F.count("*").alias("slots"))
         # a source may be too small for a slot of its own: its texts go to the first
         placed = uses.join(F.broadcast(number), "source", "left")  # one row a source
@@ -105,7 +106,7 @@ def _schedule(spark: SparkSession, shares: list[tuple[str, float]], n: int) -> D
     return slots.select("slot", "source", (F.col("r") + F.col("before")).alias("r"))
 
 
-def _uses(usable: DataFrame, asked: dict[str, int], totals: dict[str, int], rounds: int) -> DataFrame:
+def _uses(usable: DataFrame, asked: dict[str, int], totals: dict[str, int], rounds: int, close: float) -> DataFrame:
     """(source, doc_id, n_tokens, copy, x, asked): each use of a text with its first token among those the source is asked for."""
     spark = usable.sparkSession
     facts = spark.createDataFrame([(s, a, totals[s]) for s, a in asked.items()], "source string, asked long, total long")
@@ -117,9 +118,9 @@ def _uses(usable: DataFrame, asked: dict[str, int], totals: dict[str, int], roun
     gaps = {s: a % totals[s] for s, a in asked.items() if a % totals[s]}
     for r in laid.where("fits").groupBy("source").agg(F.sum("n_tokens").alias("t")).collect():
         gaps[r["source"]] -= r["t"]
-    still = lambda: F.broadcast(spark.createDataFrame([(s, g) for s, g in gaps.items() if g > 0], "source string, gap long"))  # noqa: E731, one row a source
+    still = lambda: F.broadcast(spark.createDataFrame([(s, g) for s, g in gaps.items() if g > close * asked[s]], "source string, gap long"))  # noqa: E731, one row a source
     picked = spare.select("source", "doc_id", "n_tokens").where("false")
-    if any(g > 0 for g in gaps.values()):
+    if any(g > close * asked[s] for s, g in gaps.items()):
         # the texts after the one that was too long, as far as they fit: a range of tokens that one long text bounds
         near = spare.join(still(), "source").where("n_tokens <= gap and start < asked % total + 64 * gap")
         upto = F.sum("n_tokens").over(Window.partitionBy("source").orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
@@ -129,7 +130,7 @@ def _uses(usable: DataFrame, asked: dict[str, int], totals: dict[str, int], roun
     taken: list[tuple[str, int, int]] = []
     one_by_one = lambda: spark.createDataFrame(taken, "source string, doc_id long, n_tokens long")  # noqa: E731, at most a row a source and round
     for _ in range(rounds):
-        if not any(g > 0 for g in gaps.values()):
+        if not any(g > close * asked[s] for s, g in gaps.items()):
             break
         left = spare.join(still(), "source").where("n_tokens <= gap").join(picked.unionByName(one_by_one()).select("doc_id"), "doc_id", "left_anti")
         found = left.groupBy("source").agg(F.max(F.struct("n_tokens", "doc_id")).alias("x")).select("source", "x.*").collect()
