@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from pathlib import Path
 
 import duckdb
@@ -67,3 +68,23 @@ def test_records_hold_every_section(spark):
         assert all(len(r[c]) <= n for c, n in (("technical", 30), ("older_articles", 75), ("insider_transactions", 20), ("analyst_recommendations", 50)))
         assert all(x["date"] < r["as_of"] for c in ("technical", "sentiment_features", "macro", "analyst_recommendations") for x in r[c])
         assert all(x["published_at"].date() < r["as_of"] for c in ("recent_articles", "older_articles") for x in r[c])
+
+
+def test_lookback_broadcasts_nothing(spark):
+    df = QUERIES["j15_windowed_lookback"](spark, FOLDER)
+    assert df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_lookback_at_its_edges(spark, tmp_path):
+    asked = dt.date(2024, 6, 1)
+    # days before, score; the same url twice counts as last delivered
+    news = [(0, 9.0), (1, 0.5), (1, None), (7, float("nan")), (8, -0.25), (30, None), (31, 0.125), (90, 1.0), (91, 9.0), (-1, 9.0), (None, 9.0)]
+    rows = [(i, 1, None if back is None else dt.datetime(2024, 6, 1, 23, 59) - dt.timedelta(days=back), f"u{i}", score, dt.datetime(2024, 6, 2)) for i, (back, score) in enumerate(news)]
+    rows += [(90, 1, dt.datetime(2024, 5, 31), "u1", 0.75, dt.datetime(2024, 6, 3)), (91, 2, dt.datetime(2024, 5, 1), None, None, dt.datetime(2024, 6, 2)), (92, None, dt.datetime(2024, 5, 31), None, 9.0, dt.datetime(2024, 6, 2))]
+    spark.createDataFrame(rows, "news_id long, ticker_id int, published_at timestamp_ntz, url string, sentiment_score double, created_at timestamp_ntz").write.parquet(str(tmp_path / "news.parquet"))
+    ratings = [(1, asked), (1, asked), (1, dt.date(2025, 6, 1)), (2, asked), (3, asked), (None, asked), (1, None)]
+    spark.createDataFrame(ratings, "ticker_id int, date date").write.parquet(str(tmp_path / "analyst_recommendations.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["j15_windowed_lookback"](spark, str(tmp_path)).collect())
+    assert got == [(1, asked, 3, 0.75, 5, 0.25, 7, 1.625 / 4), (2, asked, 0, None, 0, None, 1, None)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.asknown import as_known
 from tidemark.operators.ranks import month_of, ordered_index
 from tidemark.operators.series import indexed, plain_zero
-from tidemark.operators.trailing import clean_double, latest_delivery
+from tidemark.operators.trailing import clean_double, epoch_day, latest_delivery
 from tidemark.plans.features import ORACLES as FEATURES
 from tidemark.plans.features import a08_w13_sentiment
 from tidemark.plans.shared import ARTICLES, BARS, PRICES, SERIES, articles, bars, series
@@ -231,17 +231,18 @@ def j16_d34_last_days(spark: SparkSession, folder: str) -> DataFrame:
 def j15_windowed_lookback(spark: SparkSession, folder: str) -> DataFrame:
     """Articles and mean score of the 7, 30 and 90 days before each ticker and day.
 
-    Scores are summed by day first; a day is exploded to the days it counts for
-    only where somebody asks.
+    Scores are summed by day first; days with articles and days asked for are
+    one line a ticker, two rows a day at most, under range windows. Days asked
+    for aren't exploded: Spark takes an exploded side for as small as it was
+    before, and would gather it on the driver for a broadcast join.
     """
-    daily = _dated_articles(spark, folder).groupBy(K, "day").agg(F.count("*").alias("n"), F.sum("score").alias("s"), F.count("score").alias("c"))
-    asked = spine(spark, folder).withColumn("day", F.explode(F.sequence(F.date_sub("as_of", 90), F.date_sub("as_of", 1))))
-    hit = asked.join(daily, [K, "day"]).withColumn("back", F.datediff("as_of", "day"))
-    aggs = []
+    daily = _dated_articles(spark, folder).where("day is not null").groupBy(K, "day").agg(F.count("*").alias("n"), F.sum("score").alias("s"), F.count("score").alias("c"))
+    line = daily.unionByName(spine(spark, folder).withColumn("day", F.col("as_of")), allowMissingColumns=True)
+    out = []
     for d in (7, 30, 90):
-        inside = lambda c, d=d: F.sum(F.when(F.col("back") <= d, F.col(c)))
-        aggs += [F.coalesce(inside("n"), F.lit(0)).alias(f"articles_{d}"), F.try_divide(F.round(inside("s"), 4), inside("c")).alias(f"mean_score_{d}")]
-    return hit.groupBy(K, "as_of").agg(*aggs)
+        w = Window.partitionBy(K).orderBy(epoch_day("day")).rangeBetween(-d, -1)
+        out += [F.coalesce(F.sum("n").over(w), F.lit(0)).alias(f"articles_{d}"), F.try_divide(F.round(F.sum("s").over(w), 4), F.sum("c").over(w)).alias(f"mean_score_{d}")]
+    return line.select(K, "as_of", *out).where("as_of is not null and articles_90 > 0")
 
 
 def d27_first_seen(spark: SparkSession, folder: str) -> DataFrame:
